@@ -49,6 +49,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
