@@ -158,18 +158,22 @@ class CellKeys:
         widest = F.least(abs_lat + F.lit(d), F.lit(POLAR_LAT_DEG + 2 * d))
         dlon = F.least(F.lit(d) / F.cos(F.radians(widest)), F.lit(180.0))
         lo, hi = lon - dlon, lon + dlon
+        plain = F.sequence(g.lon_cell(lo), g.lon_cell(hi))
         empty = F.array().cast("array<bigint>")
         normal = F.concat(
-            F.sequence(g.lon_cell(lo), g.lon_cell(hi)),
+            plain,
             F.when(hi > 180, F.sequence(g.lon_cell(F.lit(-180.0)), g.lon_cell(hi - 360))).otherwise(empty),
             F.when(lo < -180, F.sequence(g.lon_cell(lo + 360), g.lon_cell(F.lit(180.0)))).otherwise(empty),
         )
-        reach_lon = F.array_distinct(
+        edge = F.array_distinct(
             F.concat(
                 F.when(abs_lat - F.lit(d) < POLAR_LAT_DEG, normal).otherwise(empty),
                 F.when(abs_lat + F.lit(d) >= POLAR_LAT_DEG, F.array(F.lit(POLAR_LON_KEY))).otherwise(empty),
             )
         )
+        # common case first: no antimeridian, no polar cap
+        inland = (abs_lat + F.lit(d) < POLAR_LAT_DEG) & (hi <= 180) & (lo >= -180)
+        reach_lon = F.when(inland, plain).otherwise(edge)
         valid = _valid(lat, lon)
         return (
             F.when(valid, reach_lat).otherwise(fixed_lat),

@@ -21,9 +21,13 @@ def explode_keys(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
 
     Arrays hold distinct values, so each combination occurs once.  A NULL
     array (NULL coordinate) yields no row: such a row cannot match.
+
+    ``explode_outer`` plus a filter on the produced key gives the rows of
+    ``explode``; it keeps Catalyst from inferring a non-empty-array filter
+    that it would push below an earlier exchange and evaluate twice.
     """
     for name, values in keys.items():
-        df = df.withColumn(name, F.explode(values))
+        df = df.withColumn(name, F.explode_outer(values)).where(F.col(name).isNotNull())
     return df
 
 

@@ -142,7 +142,8 @@ def _candidate_count(with_time: bool) -> str:
     slot_b = ", CAST(floor(pickup_s / 29800) AS BIGINT) AS t" if with_time else ""
     group_t = ", t" if with_time else ""
     t_off = "CROSS JOIN (VALUES (0), (1)) o5(e)" if with_time else ""
-    t_cond = "AND b.t = a.t + o5.e" if with_time else ""
+    t_cond = "AND b.t = e.k5" if with_time else ""
+    t_key = ", a.t + o5.e AS k5" if with_time else ""
     return _with(
         BASE,
         f"""ca AS (
@@ -157,13 +158,15 @@ def _candidate_count(with_time: bool) -> str:
 )""",
         f"ga AS (SELECT pla, plo, dla, dlo{group_t}, count(*) AS na FROM ca GROUP BY ALL)",
         f"gb AS (SELECT pla, plo, dla, dlo{group_t}, count(*) AS nb FROM cb GROUP BY ALL)",
+        f"""ea AS (
+    SELECT a.pla + o1.x AS k1, a.plo + o2.y AS k2, a.dla + o3.u AS k3, a.dlo + o4.v AS k4{t_key}, a.na
+    FROM ga a
+    CROSS JOIN (VALUES (-1), (0), (1)) o1(x) CROSS JOIN (VALUES (-1), (0), (1)) o2(y)
+    CROSS JOIN (VALUES (-1), (0), (1)) o3(u) CROSS JOIN (VALUES (-1), (0), (1)) o4(v) {t_off}
+)""",
     ) + f"""
-SELECT CAST(coalesce(sum(a.na * b.nb), 0) AS BIGINT) AS n
-FROM ga a
-CROSS JOIN (VALUES (-1), (0), (1)) o1(x) CROSS JOIN (VALUES (-1), (0), (1)) o2(y)
-CROSS JOIN (VALUES (-1), (0), (1)) o3(u) CROSS JOIN (VALUES (-1), (0), (1)) o4(v) {t_off}
-JOIN gb b ON b.dla = a.pla + o1.x AND b.dlo = a.plo + o2.y
-         AND b.pla = a.dla + o3.u AND b.plo = a.dlo + o4.v {t_cond}"""
+SELECT CAST(coalesce(sum(e.na * b.nb), 0) AS BIGINT) AS n
+FROM ea e JOIN gb b ON b.dla = e.k1 AND b.dlo = e.k2 AND b.pla = e.k3 AND b.plo = e.k4 {t_cond}"""
 
 
 def _cells(exprs: dict[str, str]) -> str:

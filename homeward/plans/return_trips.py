@@ -6,18 +6,30 @@ Trip *b* is a return trip of trip *a* when
 2. ``b.pickup`` is within ``radius_m`` metres of ``a.dropoff``;
 3. ``b.dropoff`` is within ``radius_m`` metres of ``a.pickup``.
 
-Plan (one shuffle of both sides, no all-pairs product)::
+The theta self-join becomes an equi-join on bucket keys plus the exact
+predicates as the join's residual; nothing forms all pairs.
 
-    trips -> 6 columns -> [spread if under-partitioned]
-      |-> to   = clone a.pickup to its neighbour cells        (key: a.pickup~, a.dropoff, slot(a.dropoff))
-      '-> back = clone b.pickup to its neighbour cells and
-                 to the time slots a dropoff can lie in       (key: b.dropoff, b.pickup~, slot~(b.pickup))
+Fine keys (100 m cells, slots of about 8 h)::
+
+    to   (trip a): a.pickup cloned to the cells its 100 m disc touches,
+                   exact cell of a.dropoff, exact slot of a.dropoff
+    back (trip b): exact cell of b.dropoff, b.pickup cloned to its cells
+                   and to the slots of every dropoff it can follow
     to JOIN back ON 5 keys, residual: gap, distance x 2
 
 Each pair meets in exactly one (to, back) clone combination, so the
 result is a bag with the input's multiplicities and needs no
-de-duplication.  Both sides come from the same scan; Spark reuses the
-exchange of the shared input.
+de-duplication.
+
+Two layouts (``Layout``; the result is the same):
+
+* ``single``: shuffle the fine clones (about 20 rows per trip).
+* ``two_level`` (default when co-partitioning is allowed): shuffle each
+  outbound trip once and each return trip to the 1 km / 1 day coarse
+  keys it can pair in (about 3 rows per trip), then clone to fine keys
+  after the shuffle; the join on coarse + fine keys reuses the coarse
+  partitioning, so the fine clones never cross the network.  Hot coarse
+  keys are counted first and routed to the fine-key shuffle.
 """
 
 from __future__ import annotations
@@ -36,6 +48,7 @@ from ..functions.grid import (
     CellKeys,
     GridSpec,
     SlotKeys,
+    metric_grid,
 )
 from ..operators.clean import clean as clean_input
 from ..operators.clean import nonzero_coordinates
@@ -80,9 +93,10 @@ class MatchSpec:
 
 
 CANONICAL_SPEC = MatchSpec()
-ADJACENT_SPEC = MatchSpec(
-    max_gap_s=None, grid=UNIFORM_176, slot_width_s=SCRIPT_TIME_SLOT_S, slot_mode="adjacent"
-)
+# The script's uniform 176-per-degree grid is kept as an option; with
+# ``neighbours="reach"`` the candidate grid never changes the result, and
+# 101 m cells give far fewer candidates than 632 m ones.
+ADJACENT_SPEC = MatchSpec(max_gap_s=None, slot_width_s=SCRIPT_TIME_SLOT_S, slot_mode="adjacent")
 
 
 def trip_table(trips: DataFrame, cols: TripColumns = YELLOW_CAB) -> DataFrame:
@@ -109,38 +123,182 @@ def _epoch(df: DataFrame, name: str) -> Column:
     return epoch_seconds(F.col(name), df.schema[name].dataType)
 
 
-def _sides(base: DataFrame, spec: MatchSpec) -> tuple[DataFrame, DataFrame, list[tuple[str, str]]]:
-    cells, slots = spec.cells, spec.slots
-    to = base.select(*[F.col(c).alias(f"to_{c}") for c in CANONICAL])
-    back = base.select(*[F.col(c).alias(f"back_{c}") for c in CANONICAL])
+def _role(base: DataFrame, prefix: str) -> DataFrame:
+    return base.select(*[F.col(c).alias(f"{prefix}_{c}") for c in CANONICAL])
+
+
+# Join keys of the fine level: (to column, back column).
+_FINE_SPACE = [("_t_plat", "_b_dlat"), ("_t_plon", "_b_dlon"), ("_t_dlat", "_b_plat"), ("_t_dlon", "_b_plon")]
+_FINE_TIME = [("_t_slot", "_b_slot")]
+
 
-    # to: exact dropoff cell and slot, pickup cloned to its neighbour cells
+def _fine_keys(spec: MatchSpec) -> list[tuple[str, str]]:
+    return _FINE_SPACE + (_FINE_TIME if spec.slots is not None else [])
+
+
+def _fine_to(to: DataFrame, spec: MatchSpec) -> DataFrame:
+    """Outbound trip: exact dropoff cell and slot, pickup cloned to the
+    cells its radius disc touches."""
+    cells, slots = spec.cells, spec.slots
     dlat, dlon = cells.exact(F.col("to_dropoff_lat"), F.col("to_dropoff_lon"))
-    exact_to = {"_t_dlat": dlat, "_t_dlon": dlon}
+    exact = {"_t_dlat": dlat, "_t_dlon": dlon}
     if slots is not None:
-        exact_to["_t_slot"] = slots.exact(_epoch(to, "to_dropoff_ts"))
-    to = to.withColumns(exact_to)
+        exact["_t_slot"] = slots.exact(_epoch(to, "to_dropoff_ts"))
     plat, plon = cells.reach(F.col("to_pickup_lat"), F.col("to_pickup_lon"))
-    to = explode_keys(to, {"_t_plat": plat, "_t_plon": plon})
+    return explode_keys(to.withColumns(exact), {"_t_plat": plat, "_t_plon": plon})
 
-    # back: exact dropoff cell, pickup cloned to neighbour cells and slots
+
+def _fine_back(back: DataFrame, spec: MatchSpec) -> DataFrame:
+    """Return trip: exact dropoff cell, pickup cloned to its neighbour cells
+    and to the slots of every dropoff it can follow."""
+    cells, slots = spec.cells, spec.slots
     dlat, dlon = cells.exact(F.col("back_dropoff_lat"), F.col("back_dropoff_lon"))
-    back = back.withColumns({"_b_dlat": dlat, "_b_dlon": dlon})
     plat, plon = cells.reach(F.col("back_pickup_lat"), F.col("back_pickup_lon"))
     clones = {"_b_plat": plat, "_b_plon": plon}
     if slots is not None:
         clones["_b_slot"] = slots.reach(_epoch(back, "back_pickup_ts"))
-    back = explode_keys(back, clones)
-
-    keys = [
-        ("_t_plat", "_b_dlat"),
-        ("_t_plon", "_b_dlon"),
-        ("_t_dlat", "_b_plat"),
-        ("_t_dlon", "_b_plon"),
-    ]
+    return explode_keys(back.withColumns({"_b_dlat": dlat, "_b_dlon": dlon}), clones)
+
+
+def _sides(base: DataFrame, spec: MatchSpec) -> tuple[DataFrame, DataFrame, list[tuple[str, str]]]:
+    return _fine_to(_role(base, "to"), spec), _fine_back(_role(base, "back"), spec), _fine_keys(spec)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where the work of a match runs (never changes the result).
+
+    ``plan``: ``"two_level"`` shuffles each outbound trip once and each
+    return trip to the few *coarse* cells and slots it can pair in
+    (about 3 rows per trip instead of about 20), and makes the fine
+    100 m / 8 h clones after the shuffle, inside the co-partitioned
+    join.  It needs ``spark.sql.requireAllClusterKeysForCoPartition=false``
+    (``session.tune``); ``"auto"`` picks it when that is set and
+    ``"single"`` (fine keys shuffled directly) otherwise.
+
+    Hot coarse keys (more than ``hot_rows`` outbound trips) are found by
+    one partially aggregated count before the match; their rows take
+    the fine-key shuffle instead, where the key is 100 m x 8 h and AQE
+    splits what is still skewed.  At most ``max_hot_keys`` keys are
+    collected (their number is bounded by rows / ``hot_rows``); beyond
+    that the whole match takes the fine-key shuffle.
+    """
+
+    plan: str = "auto"
+    coarse_cell_m: float = 1000.0
+    coarse_slot_s: int = 86400
+    partitions: int | None = None
+    hot_rows: int = 2_000_000
+    max_hot_keys: int = 100_000
+    detect_hot_keys: bool = True
+
+
+DEFAULT_LAYOUT = Layout()
+SINGLE_LAYOUT = Layout(plan="single")
+
+_COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def _coarse_to(to: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFrame, list[str]]:
+    cells = CellKeys(metric_grid(layout.coarse_cell_m), spec.radius_m, "reach")
+    plat, plon = cells.exact(F.col("to_pickup_lat"), F.col("to_pickup_lon"))
+    dlat, dlon = cells.exact(F.col("to_dropoff_lat"), F.col("to_dropoff_lon"))
+    keys = {"_tc_plat": plat, "_tc_plon": plon, "_tc_dlat": dlat, "_tc_dlon": dlon}
+    slots = _coarse_slots(spec, layout)
+    if slots is not None:
+        keys["_tc_slot"] = slots.exact(_epoch(to, "to_dropoff_ts"))
+    return to.withColumns(keys), list(keys)
+
+
+def _coarse_back(back: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFrame, list[str]]:
+    cells = CellKeys(metric_grid(layout.coarse_cell_m), spec.radius_m, "reach")
+    dlat, dlon = cells.reach(F.col("back_dropoff_lat"), F.col("back_dropoff_lon"))
+    plat, plon = cells.reach(F.col("back_pickup_lat"), F.col("back_pickup_lon"))
+    keys = {"_bc_dlat": dlat, "_bc_dlon": dlon, "_bc_plat": plat, "_bc_plon": plon}
+    slots = _coarse_slots(spec, layout)
     if slots is not None:
-        keys.append(("_t_slot", "_b_slot"))
-    return to, back, keys
+        keys["_bc_slot"] = slots.reach(_epoch(back, "back_pickup_ts"))
+    return explode_keys(back, keys), list(keys)
+
+
+def _coarse_slots(spec: MatchSpec, layout: Layout) -> SlotKeys | None:
+    if spec.slots is None:
+        return None
+    # adjacent fine slots pair gaps below two slot widths
+    bound = spec.max_gap_s if spec.slot_mode != "adjacent" else 2 * spec.slot_width_s
+    return SlotKeys(layout.coarse_slot_s, bound, 0, "reach")
+
+
+def _hot_keys(to: DataFrame, keys: list[str], layout: Layout) -> DataFrame | None | str:
+    """Coarse keys with more than ``hot_rows`` outbound trips, as a small
+    DataFrame; ``None`` if there are none, ``"many"`` if more than
+    ``max_hot_keys``."""
+    counts = to.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > layout.hot_rows).select(*keys)
+    rows = hot.limit(layout.max_hot_keys + 1).collect()
+    if not rows:
+        return None
+    if len(rows) > layout.max_hot_keys:
+        return "many"
+    return to.sparkSession.createDataFrame(rows, schema=hot.schema)
+
+
+def _split_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFrame:
+    """Rows whose coarse key is (``left_semi``) or is not (``left_anti``) hot."""
+    h = hot.toDF(*[f"_hot_{i}" for i in range(len(keys))])
+    cond = None
+    for i, k in enumerate(keys):
+        term = F.col(k) == F.col(f"_hot_{i}")
+        cond = term if cond is None else cond & term
+    return df.join(F.broadcast(h), cond, how)
+
+
+def _two_level(base: DataFrame, spec: MatchSpec, layout: Layout, residual: Column) -> DataFrame:
+    spark = base.sparkSession
+    n = layout.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = None
+    if layout.detect_hot_keys:
+        # counted on the input as it is split: a partial count per task,
+        # one row per coarse key and task crosses the network
+        counted, ckeys = _coarse_to(_role(base, "to"), spec, layout)
+        hot = _hot_keys(counted, ckeys, layout)
+    base = spread(base)
+    to, tkeys = _coarse_to(_role(base, "to"), spec, layout)
+    back, bkeys = _coarse_back(_role(base, "back"), spec, layout)
+    coarse = list(zip(tkeys, bkeys))
+    keys = coarse + _fine_keys(spec)
+
+    if isinstance(hot, str):
+        return _single_level(base, spec, residual)
+
+    cold_to, cold_back = to, back
+    parts = []
+    if hot is not None:
+        cold_to = _split_hot(to, tkeys, hot, "left_anti")
+        cold_back = _split_hot(back, bkeys, hot, "left_anti")
+        hot_to = _split_hot(to, tkeys, hot, "left_semi")
+        hot_back = _split_hot(back, bkeys, hot, "left_semi")
+        parts.append(keyed_join(_fine_to(hot_to, spec), _fine_back(hot_back, spec), keys, residual))
+
+    # One shuffle on the coarse keys; fine clones are made after it and the
+    # join on coarse + fine keys reuses that partitioning.  A hash of all
+    # keys leads the key list: the partition-local sort then orders on a
+    # near-unique 64-bit prefix (equal keys give equal hashes, so the
+    # extra key changes no match).
+    cold_to = _fine_to(cold_to.repartition(n, *tkeys), spec)
+    cold_back = _fine_back(cold_back.repartition(n, *bkeys), spec)
+    cold_to = cold_to.withColumn("_t_hash", F.xxhash64(*[F.col(t) for t, _ in keys]))
+    cold_back = cold_back.withColumn("_b_hash", F.xxhash64(*[F.col(b) for _, b in keys]))
+    parts.insert(0, keyed_join(cold_to, cold_back, [("_t_hash", "_b_hash")] + keys, residual))
+    out = parts[0].select(*PAIR_COLUMNS)
+    for p in parts[1:]:
+        out = out.unionByName(p.select(*PAIR_COLUMNS))
+    return out
+
+
+def _single_level(base: DataFrame, spec: MatchSpec, residual: Column) -> DataFrame:
+    to, back, keys = _sides(spread(base), spec)
+    return keyed_join(to, back, keys, residual).select(*PAIR_COLUMNS)
 
 
 def _residual(base: DataFrame, spec: MatchSpec) -> Column:
@@ -163,22 +321,26 @@ def _residual(base: DataFrame, spec: MatchSpec) -> Column:
 
 def _prepare(trips: DataFrame, cols: TripColumns, clean: bool, distinct: bool) -> DataFrame:
     if clean:
-        trips = clean_input(trips, cols)  # shuffles by all columns: spread already
+        trips = clean_input(trips, cols)
     base = trip_table(trips, cols)
     if distinct:
         base = base.dropDuplicates()  # shuffle of the narrow input, not of the result
-    if not (clean or distinct):
-        base = spread(base)
     return base
 
 
+def _plan_of(spark, layout: Layout) -> str:
+    if layout.plan != "auto":
+        return layout.plan
+    relaxed = str(spark.conf.get(_COPARTITION_CONF, "true")).lower() == "false"
+    return "two_level" if relaxed else "single"
+
+
 def return_trip_candidates(
     trips: DataFrame, spec: MatchSpec = CANONICAL_SPEC, cols: TripColumns = YELLOW_CAB
 ) -> DataFrame:
-    """Pairs sharing bucket keys, before the exact predicates (candidate
-    stage; its size is the cost of the match)."""
-    base = _prepare(trips, cols, False, False)
-    to, back, keys = _sides(base, spec)
+    """Pairs sharing fine bucket keys, before the exact predicates (the
+    candidate stage of the classic single-level join)."""
+    to, back, keys = _sides(spread(trip_table(trips, cols)), spec)
     return keyed_join(to, back, keys)
 
 
@@ -188,10 +350,13 @@ def match_pairs(
     cols: TripColumns = YELLOW_CAB,
     clean: bool = False,
     distinct: bool = False,
+    layout: Layout = DEFAULT_LAYOUT,
 ) -> DataFrame:
     base = _prepare(trips, cols, clean, distinct)
-    to, back, keys = _sides(base, spec)
-    return keyed_join(to, back, keys, _residual(base, spec)).select(*PAIR_COLUMNS)
+    residual = _residual(base, spec)
+    if _plan_of(base.sparkSession, layout) == "two_level":
+        return _two_level(base, spec, layout, residual)
+    return _single_level(base, spec, residual)
 
 
 def match_return_trips(
@@ -205,6 +370,7 @@ def match_return_trips(
     clean: bool = False,
     distinct: bool = False,
     cols: TripColumns = YELLOW_CAB,
+    layout: Layout = DEFAULT_LAYOUT,
 ) -> DataFrame:
     """Every (trip, return trip) pair: 12 columns ``to_*`` and ``back_*``.
 
@@ -223,17 +389,18 @@ def match_return_trips(
         slot_width_s=slot_width_s,
         slot_mode="reach",
     )
-    return match_pairs(trips, spec, cols, clean=clean, distinct=distinct)
+    return match_pairs(trips, spec, cols, clean=clean, distinct=distinct, layout=layout)
 
 
 def match_adjacent_slots(
     trips: DataFrame,
     radius_m: float = 100.0,
     *,
-    grid: GridSpec = UNIFORM_176,
+    grid: GridSpec = METRIC,
     neighbours: str = "reach",
     slot_width_s: int = SCRIPT_TIME_SLOT_S,
     cols: TripColumns = YELLOW_CAB,
+    layout: Layout = DEFAULT_LAYOUT,
 ) -> DataFrame:
     """The script variant: *b* picks up after *a*'s dropoff, in the same or
     the next epoch-aligned slot (no 8 h limit), both ends within
@@ -244,7 +411,7 @@ def match_adjacent_slots(
     costs result rows only, not candidates or shuffle volume.
     """
     spec = replace(ADJACENT_SPEC, radius_m=radius_m, grid=grid, neighbours=neighbours, slot_width_s=slot_width_s)
-    pairs = match_pairs(trips, spec, cols)
+    pairs = match_pairs(trips, spec, cols, layout=layout)
     twice = pairs.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return twice.select(*ADJACENT_COLUMNS)
 

@@ -23,12 +23,26 @@ TUNING = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # A join whose sides are already hash-partitioned on a subset of its
+    # keys (the coarse keys of the two-level match) keeps that layout.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
+# Catalyst copies inferred ``isnotnull(key)`` filters below the exchanges
+# of the match, where each is the whole derived key expression; on long
+# derived columns the stage's generated code grows past the JIT limit.
+# Null keys never join, so the filters are not needed for correctness.
+EXCLUDED_RULES = ("org.apache.spark.sql.catalyst.optimizer.InferFiltersFromConstraints",)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in TUNING.items():
         spark.conf.set(key, value)
+    current = spark.conf.get("spark.sql.optimizer.excludedRules", None) or ""
+    rules = [r for r in current.split(",") if r.strip()]
+    rules += [r for r in EXCLUDED_RULES if r not in rules]
+    spark.conf.set("spark.sql.optimizer.excludedRules", ",".join(rules))
     return spark
 
 
