@@ -34,14 +34,16 @@ Two layouts (``Layout``; the result is the same):
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import epoch_seconds, haversine_m
+from ..functions.geo import EARTH_RADIUS_M, epoch_seconds, haversine_m
 from ..functions.grid import (
     METRIC,
+    REACH_MARGIN,
     SCRIPT_TIME_SLOT_S,
     TIME_SLOT_S,
     UNIFORM_176,
@@ -107,16 +109,17 @@ def trip_table(trips: DataFrame, cols: TripColumns = YELLOW_CAB) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cluster's cores when the input has
-    fewer partitions than cores (a small file is one split; cloning it
-    in one task would serialise the whole map side).  A large input is
-    left as it is: its splits already spread the work."""
+    fewer than two waves of partitions (a small file is one split, and
+    its rows may sit in one row group; cloning them in one task would
+    serialise the map side).  A large input is left as it is: its splits
+    already spread the work."""
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     try:
         current = df.rdd.getNumPartitions()
     except Exception:  # pragma: no cover - e.g. Spark Connect
         return df
-    return df.repartition(target) if current < target else df
+    return df.repartition(target) if current < 2 * target else df
 
 
 def _epoch(df: DataFrame, name: str) -> Column:
@@ -253,15 +256,24 @@ def _split_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> Data
     return df.join(F.broadcast(h), cond, how)
 
 
-def _two_level(base: DataFrame, spec: MatchSpec, layout: Layout, residual: Column) -> DataFrame:
+def _find_hot(source: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame | None | str:
+    """Hot coarse keys of ``source`` (the six columns before cleaning or
+    de-duplication: a superset of the matched rows, so its counts bound
+    theirs).  A key cannot hold more rows than the input, so when the
+    input has at most ``hot_rows`` rows no count is needed."""
+    if not layout.detect_hot_keys or source.count() <= layout.hot_rows:
+        return None
+    # partial count per task: one row per coarse key and task is shuffled
+    counted, ckeys = _coarse_to(_role(source, "to"), spec, layout)
+    return _hot_keys(counted, ckeys, layout)
+
+
+def _two_level(
+    base: DataFrame, spec: MatchSpec, layout: Layout, residual: Column, source: DataFrame | None = None
+) -> DataFrame:
     spark = base.sparkSession
     n = layout.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = None
-    if layout.detect_hot_keys:
-        # counted on the input as it is split: a partial count per task,
-        # one row per coarse key and task crosses the network
-        counted, ckeys = _coarse_to(_role(base, "to"), spec, layout)
-        hot = _hot_keys(counted, ckeys, layout)
+    hot = _find_hot(base if source is None else source, spec, layout)
     base = spread(base)
     to, tkeys = _coarse_to(_role(base, "to"), spec, layout)
     back, bkeys = _coarse_back(_role(base, "back"), spec, layout)
@@ -310,6 +322,13 @@ def _residual(base: DataFrame, spec: MatchSpec) -> Column:
     cond = to_drop < back_pick
     if spec.slot_mode != "adjacent":
         cond = cond & (to_drop + F.lit(spec.max_gap_s) > back_pick)
+    # A great-circle distance of at most r needs a latitude difference of at
+    # most r / R radians: two subtractions discard most candidates before
+    # the trigonometry (widened as the neighbour keys are; the distance
+    # itself decides).
+    dlat = F.lit(math.degrees(spec.radius_m * REACH_MARGIN / EARTH_RADIUS_M))
+    cond = cond & (F.abs(F.col("back_pickup_lat") - F.col("to_dropoff_lat")) <= dlat)
+    cond = cond & (F.abs(F.col("to_pickup_lat") - F.col("back_dropoff_lat")) <= dlat)
     near_1 = haversine_m(
         F.col("back_pickup_lat"), F.col("to_dropoff_lat"), F.col("back_pickup_lon"), F.col("to_dropoff_lon")
     )
@@ -355,7 +374,7 @@ def match_pairs(
     base = _prepare(trips, cols, clean, distinct)
     residual = _residual(base, spec)
     if _plan_of(base.sparkSession, layout) == "two_level":
-        return _two_level(base, spec, layout, residual)
+        return _two_level(base, spec, layout, residual, source=trip_table(trips, cols))
     return _single_level(base, spec, residual)
 
 

@@ -1,0 +1,39 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import as_bag
+from homeward.plans import match_return_trips
+from homeward.sources import clean_trips
+from homeward.streaming import stream_return_trips
+
+
+def _run(spark, tmp_path, src, schema, lateness, name):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (
+        stream_return_trips(stream, lateness=lateness)
+        .writeStream.format("memory")
+        .queryName(name)
+        .option("checkpointLocation", str(tmp_path / f"ckpt_{name}"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(300)
+    return spark.table(name)
+
+
+@pytest.mark.parametrize("lateness", [None, "2 days"])
+def test_stream_equals_batch(spark, sf_dir, tmp_path, lateness):
+    trips = clean_trips(spark, sf_dir)
+    src = str(tmp_path / "trips")
+    # three files written one after another in event-time order (a file
+    # stream takes files by modification time): nothing arrives late
+    day = F.dayofmonth("tpep_pickup_datetime")
+    for lo, hi in ((1, 10), (11, 20), (21, 31)):
+        trips.where(day.between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    name = "pairs_nowm" if lateness is None else "pairs_wm"
+    got = _run(spark, tmp_path, src, trips.schema, lateness, name)
+    assert as_bag(got) == as_bag(match_return_trips(trips))
