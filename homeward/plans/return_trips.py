@@ -256,12 +256,31 @@ def _split_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> Data
     return df.join(F.broadcast(h), cond, how)
 
 
+# Below this many estimated bytes per ``hot_rows`` the input is small
+# enough that an exact row count is cheap; above it detection runs
+# directly.  Either way a key is only treated as cold on an exact count.
+_COUNT_BYTES_PER_ROW = 64
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - no JVM plan access (e.g. Spark Connect)
+        return None
+
+
 def _find_hot(source: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame | None | str:
     """Hot coarse keys of ``source`` (the six columns before cleaning or
     de-duplication: a superset of the matched rows, so its counts bound
     theirs).  A key cannot hold more rows than the input, so when the
     input has at most ``hot_rows`` rows no count is needed."""
-    if not layout.detect_hot_keys or source.count() <= layout.hot_rows:
+    if not layout.detect_hot_keys:
+        return None
+    # The row count proves "no hot key" for small inputs; it is skipped when
+    # the plan's size estimate already exceeds what hot_rows rows can fill
+    # (no extra pass over a large input, e.g. a CSV).
+    estimate = _estimated_bytes(source)
+    if (estimate is None or estimate <= layout.hot_rows * _COUNT_BYTES_PER_ROW) and source.count() <= layout.hot_rows:
         return None
     # partial count per task: one row per coarse key and task is shuffled
     counted, ckeys = _coarse_to(_role(source, "to"), spec, layout)
@@ -272,7 +291,12 @@ def _two_level(
     base: DataFrame, spec: MatchSpec, layout: Layout, residual: Column, source: DataFrame | None = None
 ) -> DataFrame:
     spark = base.sparkSession
-    n = layout.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # AQE neither coalesces nor splits an explicit repartition: take at
+    # least eight partitions per core so that coarse keys of uneven size
+    # pack into balanced waves.
+    n = layout.partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism
+    )
     hot = _find_hot(base if source is None else source, spec, layout)
     base = spread(base)
     to, tkeys = _coarse_to(_role(base, "to"), spec, layout)
