@@ -113,8 +113,7 @@ def spread(df: DataFrame) -> DataFrame:
     its rows may sit in one row group; cloning them in one task would
     serialise the map side).  A large input is left as it is: its splits
     already spread the work."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
+    target = parallelism(df.sparkSession)
     try:
         current = df.rdd.getNumPartitions()
     except Exception:  # pragma: no cover - e.g. Spark Connect
@@ -122,6 +121,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if current < 2 * target else df
 
 
+def parallelism(spark) -> int:
+    """Cores of the cluster (the shuffle partition setting where the
+    session exposes no SparkContext, as with Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # pragma: no cover
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _epoch(df: DataFrame, name: str) -> Column:
     return epoch_seconds(F.col(name), df.schema[name].dataType)
 
@@ -294,9 +302,7 @@ def _two_level(
     # AQE neither coalesces nor splits an explicit repartition: take at
     # least eight partitions per core so that coarse keys of uneven size
     # pack into balanced waves.
-    n = layout.partitions or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism
-    )
+    n = layout.partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * parallelism(spark))
     hot = _find_hot(base if source is None else source, spec, layout)
     base = spread(base)
     to, tkeys = _coarse_to(_role(base, "to"), spec, layout)
