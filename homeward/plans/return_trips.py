@@ -193,9 +193,16 @@ class Layout:
     splits what is still skewed.  At most ``max_hot_keys`` keys are
     collected (their number is bounded by rows / ``hot_rows``); beyond
     that the whole match takes the fine-key shuffle.
+
+    ``join``: the partition-local join of the two-level plan.  ``"merge"``
+    (sort-merge) spills and works at any partition size; ``"hash"``
+    (shuffled hash, outbound fine clones as the build side) is about a
+    quarter faster but holds a partition's build side in memory, which
+    nothing bounds in general; use it when partitions are known small.
     """
 
     plan: str = "auto"
+    join: str = "merge"
     coarse_cell_m: float = 1000.0
     coarse_slot_s: int = 86400
     partitions: int | None = None
@@ -330,6 +337,8 @@ def _two_level(
     cold_to = _fine_to(cold_to.repartition(n, *tkeys), spec)
     cold_back = _fine_back(cold_back.repartition(n, *bkeys), spec)
     cold_to = cold_to.withColumn("_t_hash", F.xxhash64(*[F.col(t) for t, _ in keys]))
+    if layout.join == "hash":
+        cold_to = cold_to.hint("shuffle_hash")
     cold_back = cold_back.withColumn("_b_hash", F.xxhash64(*[F.col(b) for _, b in keys]))
     parts.insert(0, keyed_join(cold_to, cold_back, [("_t_hash", "_b_hash")] + keys, residual))
     out = parts[0].select(*PAIR_COLUMNS)

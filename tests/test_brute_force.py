@@ -28,8 +28,15 @@ def expected(table):
 
 @pytest.mark.parametrize(
     "layout",
-    [Layout(), SINGLE_LAYOUT, Layout(hot_rows=20), Layout(hot_rows=20, max_hot_keys=2), Layout(detect_hot_keys=False)],
-    ids=["two_level", "single", "hot_keys", "too_many_hot_keys", "no_detection"],
+    [
+        Layout(),
+        SINGLE_LAYOUT,
+        Layout(hot_rows=20),
+        Layout(hot_rows=20, max_hot_keys=2),
+        Layout(detect_hot_keys=False),
+        Layout(join="hash"),
+    ],
+    ids=["two_level", "single", "hot_keys", "too_many_hot_keys", "no_detection", "hash_join"],
 )
 def test_return_trips_equal_all_pairs(trips, expected, layout):
     got = as_bag(with_epoch_seconds(match_return_trips(trips, layout=layout)))
