@@ -2,6 +2,7 @@
 
     spark-submit homeward/job.py INPUT [--format csv|parquet|orc]
         [--variant canonical|clean|distinct|adjacent] [--output PATH]
+        [--stage [SHARED_FOLDER]]
 
 Prints the number of matches and the elapsed time.  With ``--output`` the
 pairs are written as parquet (overwrite); the write is the job's only
@@ -13,18 +14,33 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
 from homeward.operators.clean import nonzero_coordinates
 from homeward.operators.summary import count_rows
 from homeward.plans.return_trips import match_adjacent_slots, match_return_trips
-from homeward.session import tune
+from homeward.session import checkpoint_dir, tune
 from homeward.sources.loaders import read_trips
 
 
-def build(spark: SparkSession, path: str, fmt: str | None, variant: str):
+def stage(spark: SparkSession, trips, folder: str | None):
+    """Write the filtered trips once as parquet to a shared folder and read
+    them back: later passes (hot-key count, match) scan columns instead of
+    parsing text, and the lineage to the text parse is cut."""
+    folder = folder or checkpoint_dir(spark)
+    if not folder:
+        raise ValueError("--stage needs a folder or spark.checkpoint.dir")
+    target = folder.rstrip("/") + f"/homeward-stage-{uuid.uuid4().hex}"
+    trips.write.parquet(target)
+    return spark.read.parquet(target)
+
+
+def build(spark: SparkSession, path: str, fmt: str | None, variant: str, staging: str | None = None):
     trips = nonzero_coordinates(read_trips(spark, path, fmt))
+    if staging is not None:
+        trips = stage(spark, trips, staging or None)
     if variant == "adjacent":
         return match_adjacent_slots(trips)
     return match_return_trips(trips, clean=variant == "clean", distinct=variant == "distinct")
@@ -33,7 +49,7 @@ def build(spark: SparkSession, path: str, fmt: str | None, variant: str):
 def run(spark: SparkSession, args: argparse.Namespace) -> tuple[int, float]:
     tune(spark)
     start = time.perf_counter()
-    pairs = build(spark, args.input, args.format, args.variant)
+    pairs = build(spark, args.input, args.format, args.variant, args.stage)
     if args.output:
         pairs.write.mode("overwrite").parquet(args.output)
         n = spark.read.parquet(args.output).count()  # from file footers
@@ -48,6 +64,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--format", default=None)
     ap.add_argument("--variant", default="canonical", choices=["canonical", "clean", "distinct", "adjacent"])
     ap.add_argument("--output", default=None)
+    ap.add_argument(
+        "--stage",
+        nargs="?",
+        const="",
+        default=None,
+        help="write the filtered input as parquet first (to this shared folder, default spark.checkpoint.dir)",
+    )
     return ap.parse_args(argv)
 
 

@@ -21,6 +21,10 @@ def test_job_counts_and_writes(spark, tmp_path):
     out = str(tmp_path / "pairs")
     n, _ = job.run(spark, job.parse([str(src), "--output", out, "--variant", "distinct"]))
     assert n == 1 and len(spark.read.parquet(out).columns) == 12
+    n, _ = job.run(spark, job.parse([str(src), "--stage", str(tmp_path / "stage")]))
+    assert n == 1
+    n, _ = job.run(spark, job.parse([str(src), "--stage"]))  # the session's checkpoint folder
+    assert n == 1
 
 
 def test_entry_flagship(spark):
