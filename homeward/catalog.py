@@ -21,10 +21,10 @@ from .operators.joins import distance_join, gap_join
 from .operators.summary import count_rows, first_rows
 from .plans.return_trips import (
     MatchSpec,
+    count_candidates,
     count_return_trips,
     match_adjacent_slots,
     match_return_trips,
-    return_trip_candidates,
     trip_table,
 )
 from .session import tune
@@ -167,15 +167,17 @@ def q_time_clones_both_sides(spark, sf_dir):
 
 
 def q_spatial_bucket_join_count(spark, sf_dir):
+    """Candidates of the classic space-only bucket join (3 x 3 blocks)."""
     tune(spark)
     spec = MatchSpec(neighbours="fixed", slot_mode="none")
-    return count_rows(return_trip_candidates(clean_trips(spark, sf_dir), spec))
+    return count_candidates(clean_trips(spark, sf_dir), spec)
 
 
 def q_spacetime_bucket_join_count(spark, sf_dir):
+    """Candidates of the classic space and time bucket join."""
     tune(spark)
     spec = MatchSpec(neighbours="fixed", slot_mode="fixed")
-    return count_rows(return_trip_candidates(clean_trips(spark, sf_dir), spec))
+    return count_candidates(clean_trips(spark, sf_dir), spec)
 
 
 def _roles(spark, sf_dir):

@@ -3,7 +3,9 @@ from .return_trips import (
     ADJACENT_SPEC,
     CANONICAL_SPEC,
     PAIR_COLUMNS,
+    Layout,
     MatchSpec,
+    count_candidates,
     count_return_trips,
     match_adjacent_slots,
     match_pairs,
@@ -18,7 +20,9 @@ __all__ = [
     "ADJACENT_SPEC",
     "CANONICAL_SPEC",
     "PAIR_COLUMNS",
+    "Layout",
     "MatchSpec",
+    "count_candidates",
     "count_return_trips",
     "match_adjacent_slots",
     "match_pairs",

@@ -402,6 +402,22 @@ def return_trip_candidates(
     return keyed_join(to, back, keys)
 
 
+def count_candidates(
+    trips: DataFrame, spec: MatchSpec = CANONICAL_SPEC, cols: TripColumns = YELLOW_CAB
+) -> DataFrame:
+    """Number of candidate pairs of the single-level bucket join (one row,
+    ``n``), without forming them: the sum over keys of outbound rows times
+    return rows.  Each side is counted per key with map-side partial
+    aggregation, so a hot key costs one row per task, and the two count
+    tables hold each key once."""
+    to, back, keys = _sides(spread(trip_table(trips, cols)), spec)
+    a = to.groupBy(*[t for t, _ in keys]).agg(F.count(F.lit(1)).alias("_na"))
+    b = back.groupBy(*[r for _, r in keys]).agg(F.count(F.lit(1)).alias("_nb"))
+    product = F.col("_na").cast("decimal(38,0)") * F.col("_nb").cast("decimal(38,0)")
+    total = keyed_join(a, b, keys).agg(F.sum(product).alias("_n"))
+    return total.select(F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n"))
+
+
 def match_pairs(
     trips: DataFrame,
     spec: MatchSpec = CANONICAL_SPEC,

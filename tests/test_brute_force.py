@@ -86,3 +86,10 @@ def test_raw_variants(spark, sf_dir):
     assert match_return_trips(raw).count() == 201
     assert match_return_trips(raw, clean=True).count() == 123
     assert match_return_trips(raw, distinct=True).count() == 178
+
+
+def test_candidate_count_equals_candidate_join(trips):
+    from homeward.plans import MatchSpec, count_candidates, return_trip_candidates
+
+    for spec in (MatchSpec(neighbours="fixed", slot_mode="none"), MatchSpec(neighbours="fixed", slot_mode="fixed"), MatchSpec()):
+        assert count_candidates(trips, spec).first()["n"] == return_trip_candidates(trips, spec).count()
