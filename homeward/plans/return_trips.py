@@ -187,8 +187,8 @@ class Layout:
     (``session.tune``); ``"auto"`` picks it when that is set and
     ``"single"`` (fine keys shuffled directly) otherwise.
 
-    Hot coarse keys (more than ``hot_rows`` outbound trips) are found by
-    one partially aggregated count before the match; their rows take
+    Hot coarse keys (more than ``hot_rows`` outbound or return rows) are
+    found by one partially aggregated count before the match; their rows take
     the fine-key shuffle instead, where the key is 100 m x 8 h and AQE
     splits what is still skewed.  At most ``max_hot_keys`` keys are
     collected (their number is bounded by rows / ``hot_rows``); beyond
@@ -247,18 +247,18 @@ def _coarse_slots(spec: MatchSpec, layout: Layout) -> SlotKeys | None:
     return SlotKeys(layout.coarse_slot_s, bound, 0, "reach")
 
 
-def _hot_keys(to: DataFrame, keys: list[str], layout: Layout) -> DataFrame | None | str:
-    """Coarse keys with more than ``hot_rows`` outbound trips, as a small
-    DataFrame; ``None`` if there are none, ``"many"`` if more than
-    ``max_hot_keys``."""
-    counts = to.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > layout.hot_rows).select(*keys)
+def _hot_keys(counts: DataFrame, keys: list[str], layout: Layout) -> DataFrame | None | str:
+    """Coarse keys with more than ``hot_rows`` rows on a side (``counts``:
+    keys and per-side counts ``_n``), as a small DataFrame; ``None`` if
+    there are none, ``"many"`` if more than ``max_hot_keys``."""
+    top = counts.groupBy(*keys).agg(F.max("_n").alias("_n"))
+    hot = top.where(F.col("_n") > layout.hot_rows).select(*keys)
     rows = hot.limit(layout.max_hot_keys + 1).collect()
     if not rows:
         return None
     if len(rows) > layout.max_hot_keys:
         return "many"
-    return to.sparkSession.createDataFrame(rows, schema=hot.schema)
+    return counts.sparkSession.createDataFrame(rows, schema=hot.schema)
 
 
 def _split_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFrame:
@@ -297,9 +297,14 @@ def _find_hot(source: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame |
     estimate = _estimated_bytes(source)
     if (estimate is None or estimate <= layout.hot_rows * _COUNT_BYTES_PER_ROW) and source.count() <= layout.hot_rows:
         return None
-    # partial count per task: one row per coarse key and task is shuffled
-    counted, ckeys = _coarse_to(_role(source, "to"), spec, layout)
-    return _hot_keys(counted, ckeys, layout)
+    # partial count per task: one row per coarse key and task is shuffled;
+    # a key is hot when either of its sides is
+    to, tkeys = _coarse_to(_role(source, "to"), spec, layout)
+    back, bkeys = _coarse_back(_role(source, "back"), spec, layout)
+    counts = to.groupBy(*tkeys).agg(F.count(F.lit(1)).alias("_n")).unionByName(
+        back.groupBy(*[F.col(b).alias(t) for t, b in zip(tkeys, bkeys)]).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return _hot_keys(counts, tkeys, layout)
 
 
 def _two_level(
