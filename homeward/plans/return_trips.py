@@ -108,17 +108,29 @@ def trip_table(trips: DataFrame, cols: TripColumns = YELLOW_CAB) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the input has
-    fewer than two waves of partitions (a small file is one split, and
-    its rows may sit in one row group; cloning them in one task would
+    """Round-robin the rows over the cluster's cores when the input fills
+    fewer splits than there are cores (a small file is one split, and its
+    rows may sit in one row group; cloning them in one task would
     serialise the map side).  A large input is left as it is: its splits
-    already spread the work."""
-    target = parallelism(df.sparkSession)
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. Spark Connect
+    already spread the work.
+
+    The split count is taken from the plan's size estimate, which runs no
+    job (asking the RDD for its partitions would, under AQE, execute any
+    shuffle below it)."""
+    spark = df.sparkSession
+    estimate = _estimated_bytes(df)
+    if estimate is None:
         return df
-    return df.repartition(target) if current < 2 * target else df
+    target = parallelism(spark)
+    splits = estimate // _max_partition_bytes(spark) + 1
+    return df.repartition(target) if splits < target else df
+
+
+def _max_partition_bytes(spark) -> int:
+    try:
+        return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    except Exception:  # pragma: no cover
+        return 128 * 1024 * 1024
 
 
 def parallelism(spark) -> int:
