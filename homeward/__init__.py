@@ -1,5 +1,26 @@
-"""Return-trip matching on Spark DataFrames."""
+"""Return-trip matching on Spark DataFrames.
 
-from .plans import count_return_trips, match_adjacent_slots, match_return_trips
+    from homeward import tune, match_return_trips
+    tune(spark)
+    pairs = match_return_trips(trips)
+"""
 
-__all__ = ["count_return_trips", "match_adjacent_slots", "match_return_trips"]
+from .plans import (
+    Layout,
+    MatchSpec,
+    count_candidates,
+    count_return_trips,
+    match_adjacent_slots,
+    match_return_trips,
+)
+from .session import tune
+
+__all__ = [
+    "Layout",
+    "MatchSpec",
+    "count_candidates",
+    "count_return_trips",
+    "match_adjacent_slots",
+    "match_return_trips",
+    "tune",
+]
