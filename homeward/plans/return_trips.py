@@ -48,6 +48,7 @@ from ..functions.grid import (
     TIME_SLOT_S,
     UNIFORM_176,
     CellKeys,
+    CELL_EDGE_M,
     GridSpec,
     SlotKeys,
     metric_grid,
@@ -77,14 +78,21 @@ class MatchSpec:
 
     radius_m: float = 100.0
     max_gap_s: int | None = 28800
-    grid: GridSpec = METRIC
+    grid: GridSpec | None = None  # None: 101 m cells, or 1.01 x radius above 100 m
     neighbours: str = "reach"
     slot_width_s: int = TIME_SLOT_S
     slot_mode: str = "reach"
 
     @property
     def cells(self) -> CellKeys:
-        return CellKeys(self.grid, self.radius_m, self.neighbours)
+        return CellKeys(self.fine_grid, self.radius_m, self.neighbours)
+
+    @property
+    def fine_grid(self) -> GridSpec:
+        if self.grid is not None:
+            return self.grid
+        # cells about as wide as the radius keep the reach to a 3 x 3 block
+        return METRIC if self.radius_m <= 100.0 else metric_grid(self.radius_m * CELL_EDGE_M / 100.0)
 
     @property
     def slots(self) -> SlotKeys | None:
@@ -230,7 +238,7 @@ _COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def _coarse_to(to: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFrame, list[str]]:
-    cells = CellKeys(metric_grid(layout.coarse_cell_m), spec.radius_m, "reach")
+    cells = CellKeys(metric_grid(max(layout.coarse_cell_m, 10 * spec.radius_m)), spec.radius_m, "reach")
     plat, plon = cells.exact(F.col("to_pickup_lat"), F.col("to_pickup_lon"))
     dlat, dlon = cells.exact(F.col("to_dropoff_lat"), F.col("to_dropoff_lon"))
     keys = {"_tc_plat": plat, "_tc_plon": plon, "_tc_dlat": dlat, "_tc_dlon": dlon}
@@ -241,7 +249,7 @@ def _coarse_to(to: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFram
 
 
 def _coarse_back(back: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFrame, list[str]]:
-    cells = CellKeys(metric_grid(layout.coarse_cell_m), spec.radius_m, "reach")
+    cells = CellKeys(metric_grid(max(layout.coarse_cell_m, 10 * spec.radius_m)), spec.radius_m, "reach")
     dlat, dlon = cells.reach(F.col("back_dropoff_lat"), F.col("back_dropoff_lon"))
     plat, plon = cells.reach(F.col("back_pickup_lat"), F.col("back_pickup_lon"))
     keys = {"_bc_dlat": dlat, "_bc_dlon": dlon, "_bc_plat": plat, "_bc_plon": plon}
@@ -256,7 +264,7 @@ def _coarse_slots(spec: MatchSpec, layout: Layout) -> SlotKeys | None:
         return None
     # adjacent fine slots pair gaps below two slot widths
     bound = spec.max_gap_s if spec.slot_mode != "adjacent" else 2 * spec.slot_width_s
-    return SlotKeys(layout.coarse_slot_s, bound, 0, "reach")
+    return SlotKeys(max(layout.coarse_slot_s, 3 * bound), bound, 0, "reach")
 
 
 def _hot_keys(counts: DataFrame, keys: list[str], layout: Layout) -> DataFrame | None | str:
@@ -455,7 +463,7 @@ def match_return_trips(
     radius_m: float = 100.0,
     max_gap_s: int = 28800,
     *,
-    grid: GridSpec = METRIC,
+    grid: GridSpec | None = None,
     neighbours: str = "reach",
     slot_width_s: int = TIME_SLOT_S,
     clean: bool = False,
@@ -487,7 +495,7 @@ def match_adjacent_slots(
     trips: DataFrame,
     radius_m: float = 100.0,
     *,
-    grid: GridSpec = METRIC,
+    grid: GridSpec | None = None,
     neighbours: str = "reach",
     slot_width_s: int = SCRIPT_TIME_SLOT_S,
     cols: TripColumns = YELLOW_CAB,

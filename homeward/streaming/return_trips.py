@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import METRIC, TIME_SLOT_S, GridSpec
+from ..functions.grid import TIME_SLOT_S, GridSpec
 from ..operators.joins import keyed_join
 from ..plans.return_trips import (
     PAIR_COLUMNS,
@@ -39,7 +39,7 @@ def stream_return_trips(
     max_gap_s: int = 28800,
     *,
     lateness: str | None = None,
-    grid: GridSpec = METRIC,
+    grid: GridSpec | None = None,
     slot_width_s: int = TIME_SLOT_S,
     cols: TripColumns = YELLOW_CAB,
 ) -> DataFrame:

@@ -101,3 +101,23 @@ def test_result_does_not_depend_on_layout_or_grid(spark):
         dict(layout=Layout(hot_rows=1, max_hot_keys=1)),
     ):
         assert sorted(match_return_trips(df, **kw).collect()) == base, kw
+
+
+def test_large_radius_and_gap_scale_the_grid(spark):
+    """Same answer as the brute force for a 5 km radius and a 2 day gap."""
+    from helpers import all_pairs, as_bag
+    from homeward.catalog import with_epoch_seconds
+
+    rows = [trip(i * 3600, i * 3600 + 600, (-73.9 + 0.01 * (i % 5), 40.7), (-73.95, 40.75 + 0.01 * (i % 3))) for i in range(40)]
+    rows += [trip(i * 5000, i * 5000 + 900, (-73.95, 40.75 + 0.01 * (i % 4)), (-73.9 + 0.01 * (i % 6), 40.7)) for i in range(40)]
+    df = trips(spark, rows)
+    got = as_bag(with_epoch_seconds(match_return_trips(df, radius_m=5000.0, max_gap_s=172800)))
+    pdf = with_epoch_seconds(
+        df.selectExpr(
+            "tpep_pickup_datetime AS pickup_ts", "tpep_dropoff_datetime AS dropoff_ts",
+            "pickup_longitude AS pickup_lon", "pickup_latitude AS pickup_lat",
+            "dropoff_longitude AS dropoff_lon", "dropoff_latitude AS dropoff_lat",
+        )
+    ).toPandas()
+    want = as_bag(all_pairs(pdf, radius=5000.0, max_gap=172800))
+    assert len(want) > 0 and got == want
