@@ -1,4 +1,4 @@
-"""Benchmark of the headline pipelines.
+"""Benchmark of the headline queries.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
@@ -66,7 +66,7 @@ def main():
     print(
         json.dumps(
             {
-                "metric": "return_trip_pipelines_total",
+                "metric": "return_trip_queries_total",
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,

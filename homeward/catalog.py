@@ -200,7 +200,7 @@ def q_distance_join_count(spark, sf_dir):
     return count_rows(pairs)
 
 
-# ---- whole pipelines ----------------------------------------------------
+# ---- whole queries ------------------------------------------------------
 
 
 def q_return_trips(spark, sf_dir):
