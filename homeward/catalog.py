@@ -20,6 +20,7 @@ from .operators.expand import neighbour_clones, time_clones, with_cells, with_ti
 from .operators.joins import distance_join, gap_join
 from .operators.summary import count_rows, first_rows
 from .plans.return_trips import (
+    TWO_LEVEL_LAYOUT,
     MatchSpec,
     count_candidates,
     count_return_trips,
@@ -208,6 +209,13 @@ def q_return_trips(spark, sf_dir):
     return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir)))
 
 
+def q_return_trips_two_level(spark, sf_dir):
+    """The canonical match with the layout used for large inputs forced
+    (coarse shuffle, fine clones after it, hot-key detection)."""
+    tune(spark)
+    return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir), layout=TWO_LEVEL_LAYOUT))
+
+
 def q_return_trips_fixed_grid(spark, sf_dir):
     tune(spark)
     return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir), neighbours="fixed"))
@@ -260,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gap_join_count": q_gap_join_count,
     "distance_join_count": q_distance_join_count,
     "return_trips": q_return_trips,
+    "return_trips_two_level": q_return_trips_two_level,
     "return_trips_fixed_grid": q_return_trips_fixed_grid,
     "return_trips_clean": q_return_trips_clean,
     "return_trips_distinct": q_return_trips_distinct,

@@ -269,6 +269,7 @@ FROM trips a JOIN trips b ON b.pickup_s > a.dropoff_s AND b.pickup_s < a.dropoff
 SELECT count(*) AS n FROM ca a JOIN cb b ON a.cy = b.cy AND a.cx = b.cx
 WHERE {hav('b.pickup_lat', 'a.dropoff_lat', 'b.pickup_lon', 'a.dropoff_lon')} <= 100""",
     "return_trips": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",
+    "return_trips_two_level": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",
     "return_trips_fixed_grid": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",
     "return_trips_clean": _with(
         BASE,

@@ -3,6 +3,8 @@ from .return_trips import (
     ADJACENT_SPEC,
     CANONICAL_SPEC,
     PAIR_COLUMNS,
+    SINGLE_LAYOUT,
+    TWO_LEVEL_LAYOUT,
     Layout,
     MatchSpec,
     count_candidates,
@@ -20,6 +22,8 @@ __all__ = [
     "ADJACENT_SPEC",
     "CANONICAL_SPEC",
     "PAIR_COLUMNS",
+    "SINGLE_LAYOUT",
+    "TWO_LEVEL_LAYOUT",
     "Layout",
     "MatchSpec",
     "count_candidates",

@@ -204,8 +204,12 @@ class Layout:
     (about 3 rows per trip instead of about 20), and makes the fine
     100 m / 8 h clones after the shuffle, inside the co-partitioned
     join.  It needs ``spark.sql.requireAllClusterKeysForCoPartition=false``
-    (``session.tune``); ``"auto"`` picks it when that is set and
-    ``"single"`` (fine keys shuffled directly) otherwise.
+    (``session.tune``).  ``"single"`` shuffles the fine keys directly.
+    ``"auto"`` picks two-level when co-partitioning is allowed and the
+    input's estimated size is at least ``two_level_min_bytes`` (or
+    unknown): below that the fine clones' shuffle is a few GB that stay on
+    local disks, and the simpler plan, with AQE coalescing and skew
+    splitting, is faster; above it the shuffled bytes dominate.
 
     Hot coarse keys (more than ``hot_rows`` outbound or return rows) are
     found by one partially aggregated count before the match; their rows take
@@ -222,6 +226,7 @@ class Layout:
     """
 
     plan: str = "auto"
+    two_level_min_bytes: int = 1 << 30
     join: str = "merge"
     coarse_cell_m: float = 1000.0
     coarse_slot_s: int = 86400
@@ -233,6 +238,7 @@ class Layout:
 
 DEFAULT_LAYOUT = Layout()
 SINGLE_LAYOUT = Layout(plan="single")
+TWO_LEVEL_LAYOUT = Layout(plan="two_level")
 
 _COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 
@@ -411,11 +417,14 @@ def _prepare(trips: DataFrame, cols: TripColumns, clean: bool, distinct: bool) -
     return base
 
 
-def _plan_of(spark, layout: Layout) -> str:
+def _plan_of(source: DataFrame, layout: Layout) -> str:
     if layout.plan != "auto":
         return layout.plan
-    relaxed = str(spark.conf.get(_COPARTITION_CONF, "true")).lower() == "false"
-    return "two_level" if relaxed else "single"
+    relaxed = str(source.sparkSession.conf.get(_COPARTITION_CONF, "true")).lower() == "false"
+    if not relaxed:
+        return "single"
+    estimate = _estimated_bytes(source)
+    return "two_level" if estimate is None or estimate >= layout.two_level_min_bytes else "single"
 
 
 def return_trip_candidates(
@@ -453,8 +462,9 @@ def match_pairs(
 ) -> DataFrame:
     base = _prepare(trips, cols, clean, distinct)
     residual = _residual(base, spec)
-    if _plan_of(base.sparkSession, layout) == "two_level":
-        return _two_level(base, spec, layout, residual, source=trip_table(trips, cols))
+    source = trip_table(trips, cols)
+    if _plan_of(source, layout) == "two_level":
+        return _two_level(base, spec, layout, residual, source=source)
     return _single_level(base, spec, residual)
 
 

@@ -67,6 +67,7 @@ def test_edge_cases(spark, name):
     assert match_return_trips(df, neighbours="fixed", distinct=True).count() == fixed_distinct
     assert match_return_trips(df).count() == all_pairs
     assert match_return_trips(df, layout=SINGLE_LAYOUT).count() == all_pairs
+    assert match_return_trips(df, layout=Layout(plan="two_level")).count() == all_pairs
 
 
 def test_null_and_nan_rows_never_match(spark):
@@ -96,9 +97,10 @@ def test_result_does_not_depend_on_layout_or_grid(spark):
         dict(grid=metric_grid(40.0)),
         dict(grid=metric_grid(400.0)),
         dict(slot_width_s=3600),
-        dict(layout=Layout(coarse_cell_m=150.0, coarse_slot_s=30000)),
-        dict(layout=Layout(hot_rows=1)),
-        dict(layout=Layout(hot_rows=1, max_hot_keys=1)),
+        dict(layout=Layout(plan="two_level")),
+        dict(layout=Layout(plan="two_level", coarse_cell_m=150.0, coarse_slot_s=30000)),
+        dict(layout=Layout(plan="two_level", hot_rows=1)),
+        dict(layout=Layout(plan="two_level", hot_rows=1, max_hot_keys=1)),
     ):
         assert sorted(match_return_trips(df, **kw).collect()) == base, kw
 

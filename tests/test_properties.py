@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import all_pairs, as_bag
 from homeward.catalog import with_epoch_seconds
-from homeward.plans import match_return_trips
+from homeward.plans import TWO_LEVEL_LAYOUT, match_return_trips
 
 T0 = 1451606400
 HUBS = [(-73.9, 40.7), (-73.9008, 40.7005), (-73.95, 40.75), (-73.9495, 40.7504)]
@@ -45,8 +45,9 @@ SETTINGS = settings(max_examples=3, deadline=None, suppress_health_check=list(He
 @given(st.lists(trip, min_size=2, max_size=40))
 def test_matches_brute_force(spark, rows):
     df, pdf = _frame(spark, rows)
-    got = as_bag(with_epoch_seconds(match_return_trips(df)))
-    assert got == as_bag(all_pairs(pdf))
+    want = as_bag(all_pairs(pdf))
+    assert as_bag(with_epoch_seconds(match_return_trips(df))) == want
+    assert as_bag(with_epoch_seconds(match_return_trips(df, layout=TWO_LEVEL_LAYOUT))) == want
 
 
 @SETTINGS
