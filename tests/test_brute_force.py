@@ -30,15 +30,14 @@ def expected(table):
     "layout",
     [
         Layout(),
-        Layout(plan="two_level"),
+        Layout(plan="two_level", detect_hot_keys=False),
         SINGLE_LAYOUT,
         Layout(plan="two_level", hot_rows=20),
         Layout(plan="two_level", hot_rows=20, max_hot_keys=2),
-        Layout(plan="two_level", detect_hot_keys=False),
         Layout(plan="two_level", join="hash"),
         Layout(two_level_min_bytes=0),
     ],
-    ids=["auto", "two_level", "single", "hot_keys", "too_many_hot_keys", "no_detection", "hash_join", "auto_large"],
+    ids=["auto", "two_level", "single", "hot_keys", "too_many_hot_keys", "hash_join", "auto_large"],
 )
 def test_return_trips_equal_all_pairs(trips, expected, layout):
     got = as_bag(with_epoch_seconds(match_return_trips(trips, layout=layout)))

@@ -65,7 +65,6 @@ def test_edge_cases(spark, name):
     df = trips(spark, rows)
     assert match_return_trips(df, neighbours="fixed").count() == fixed
     assert match_return_trips(df, neighbours="fixed", distinct=True).count() == fixed_distinct
-    assert match_return_trips(df).count() == all_pairs
     assert match_return_trips(df, layout=SINGLE_LAYOUT).count() == all_pairs
     assert match_return_trips(df, layout=Layout(plan="two_level")).count() == all_pairs
 
