@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id
+from . import byte_bpe, language_id, personal_data, quality_rules, url_filter
 from .common import table
 
 
@@ -17,6 +18,33 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+# The rules of the contract.
+URL_RULES = [
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    entries = quality_rules.apply_policy(quality_rules.ledger(docs))
+    base_failed = (F.col("failures").bitwiseAND(F.lit(quality_rules.BASE)) != 0).alias("base_failed")
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed, "kept", "failures")
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -24,6 +52,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_url_filter": op3_url_filter,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_personal_data": op5_personal_data,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
