@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import flat_text, text_slices
 
@@ -194,7 +195,7 @@ def predict(df: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
             )
 
     rows = df.select(*columns)
-    schema = rows.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(score, schema)
 
 
