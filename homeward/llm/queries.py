@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, personal_data, quality_rules, url_filter
+from . import byte_bpe, language_id, personal_data, quality_rules, substring_dedup, url_filter
 from .common import table
 
 
@@ -45,6 +45,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_personal_data": op5_personal_data,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
