@@ -17,12 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BYTE_CODES, BYTE_POWERS, U64, WORD_POWERS, Powers, Rolling, flat_text, sliding_min, text_slices, word_arrays
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 PIECE = 1 << 21  # windows of a long text taken at once
 PLACE = U64((1 << 24) - 1)
 
@@ -39,12 +39,12 @@ BYTES = Symbols(lambda data, offsets: (BYTE_CODES[data], offsets), BYTE_POWERS)
 WORDS = Symbols(lambda data, offsets: word_arrays(data, offsets)[1:], WORD_POWERS)
 
 
-def symbol_slices(batch: pa.RecordBatch, column: int, symbols: Symbols) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, symbols, offsets by text) of slices of a batch."""
+def symbol_slices(batch: pa.RecordBatch, column: int, symbols: Symbols) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, bytes, symbols, offsets by text) of slices of a batch."""
     data, offsets = flat_text(batch.column(column))
     for a, b in text_slices(offsets, SLICE_BYTES):
         part = data[offsets[a] : offsets[b]]
-        yield a, *symbols.read(part, offsets[a : b + 1] - offsets[a])
+        yield a, part, *symbols.read(part, offsets[a : b + 1] - offsets[a])
 
 
 def segments(values: np.ndarray, offsets: np.ndarray, span: int, k: int, powers: Powers):
@@ -81,7 +81,7 @@ def segment_table(keyed: DataFrame, symbols: Symbols, span: int, k: int) -> Data
     def run(batches):
         for batch in batches:
             did, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for row, values, offsets in symbol_slices(batch, 2, symbols):
+            for row, _, values, offsets in symbol_slices(batch, 2, symbols):
                 text, start, n, anchor, seg = segments(values, offsets, span, k, symbols.powers)
                 columns = [did[row + text], th[row + text], start, n, anchor.view(np.int64), seg.view(np.int64)]
                 for i in range(0, len(start), 1 << 16):
@@ -90,41 +90,43 @@ def segment_table(keyed: DataFrame, symbols: Symbols, span: int, k: int) -> Data
     return keyed.select("did", "th", "text").mapInArrow(run, SEGMENT_SCHEMA)
 
 
-def window_table(keyed: DataFrame, wanted: DataFrame, symbols: Symbols, span: int, lead: int = 0) -> DataFrame:
-    """One row per window of the wanted segments (did, th, start, n, and a
-    ``weight``): its place, a 128-bit content hash in two halves and, for
-    bytes, its first eight bytes as a number (``lead``)."""
-    lists = wanted.groupBy("did", "th").agg(F.sort_array(F.collect_list(F.struct("start", "n", "weight"))).alias("segs"))
+def window_table(keyed: DataFrame, wanted: DataFrame, symbols: Symbols, span: int, form: Callable, names: list[str], extra: list[str]) -> DataFrame:
+    """Rows for each window of the wanted segments (did, th, start, n and
+    the ``extra`` columns, all bigint).  ``form(data, at, place, n, h1, h2,
+    key, extras)`` makes the named columns of one text's windows: ``at`` is
+    the window's byte or word in the slice, ``place`` that in the text,
+    ``h1`` and ``h2`` two 64-bit content hashes, ``n`` windows by segment."""
+    lists = wanted.groupBy("did", "th").agg(F.collect_list(F.struct("start", "n", *extra)).alias("segs"))
     rows = keyed.select("did", "th", "text").join(lists, ["did", "th"]).select("did", "th", "text", "segs")
 
     def run(batches):
         for batch in batches:
             did, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            segs = batch.column(3)
-            flat = segs.flatten()
-            starts, counts, weights = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            ends = np.concatenate([[0], np.cumsum(segs.value_lengths().to_numpy(zero_copy_only=False))])
-            for row, values, offsets in symbol_slices(batch, 2, symbols):
+            flat = batch.column(3).flatten()
+            starts, counts, *extras = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2 + len(extra)))
+            ends = np.concatenate([[0], np.cumsum(batch.column(3).value_lengths().to_numpy(zero_copy_only=False))])
+            for row, data, values, offsets in symbol_slices(batch, 2, symbols):
                 a = Rolling(values, symbols.powers)
                 b = Rolling(values ^ (values >> U64(7)), OTHER_POWERS)
-                for i in range(len(offsets) - 1):
-                    of = slice(ends[row + i], ends[row + i + 1])
-                    n = counts[of]
-                    if not n.sum():
-                        continue
-                    place = np.repeat(starts[of] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    at = place + offsets[i]
-                    head = np.zeros(len(at), np.int64)
-                    if lead:
-                        head = (a.ranges(at, at + lead)).view(np.int64)
-                    columns = [np.full(len(at), did[row + i]), np.full(len(at), th[row + i]), place, np.repeat(weights[of], n), head, a.ranges(at, at + span).view(np.int64), b.ranges(at, at + span).view(np.int64)]
-                    for j in range(0, len(at), 1 << 16):
-                        yield pa.RecordBatch.from_arrays([pa.array(c[j : j + (1 << 16)], pa.int64()) for c in columns], WINDOW_NAMES)
-
-    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in WINDOW_NAMES))
-
-
-WINDOW_NAMES = ["did", "th", "start", "weight", "lead", "h1", "h2"]
+                texts = len(offsets) - 1
+                of = slice(ends[row], ends[row + texts])
+                n = counts[of]
+                own = np.repeat(np.arange(row, row + texts), np.diff(ends[row : row + texts + 1]))
+                # a few windows at a time, whatever the slice holds
+                for i in range(0, len(n), CHUNK):
+                    m = n[i : i + CHUNK]
+                    key = np.repeat(own[i : i + CHUNK], m)
+                    inside = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                    place = np.repeat(starts[of][i : i + CHUNK], m) + inside
+                    at = place + offsets[key - row]
+                    hashes = (x.ranges(at, at + span) for x in (a, b))
+                    columns = form(data, at, place, inside, *hashes, (did[key], th[key]), [np.repeat(x[of][i : i + CHUNK], m) for x in extras])
+                    yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64), pa.int64()) for c in columns], names)
+
+    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+
+
+CHUNK = 512  # segments
 OTHER_POWERS = Powers(0xD1342543DE82EF95)
 
 
@@ -162,7 +164,3 @@ def found_runs(column: pa.Array, span: int):
     for m in lengths:
         yield runs_of(starts[at : at + m], counts[at : at + m], span)
         at += m
-
-
-def minimum_key(*columns: str) -> Column:
-    return F.min(F.struct(*columns))

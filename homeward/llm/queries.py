@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, personal_data, quality_rules, substring_dedup, url_filter
+from . import byte_bpe, language_id, personal_data, quality_rules, substring_dedup, suffix_dedup, url_filter
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 # The rules of the contract.
 URL_RULES = [
     url_filter.Rule("org", "/", "allow"),
@@ -56,6 +60,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_personal_data": op5_personal_data,

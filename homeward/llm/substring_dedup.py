@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WORDS, covered_lists, found_runs, segment_table, window_table, with_runs
-from .common import row_key
+from .common import row_key, stage_table
 
 SPAN = 50
 SEED = 20
@@ -40,20 +40,24 @@ def earlier_windows(keyed: DataFrame, *, span: int = SPAN, seed: int = SEED) ->
     """(did, th, found): windows of each text that an earlier text has."""
     segs = segment_table(keyed, WORDS, span, seed)
     seeds = segs.groupBy("anchor").agg(F.min("did").alias("a_first"), F.max("did").alias("a_last"), F.min("seg").alias("s_low"), F.max("seg").alias("s_high")).where("a_first < a_last")
-    shared = segs.join(seeds, "anchor")
+    shared = stage_table(segs.join(seeds, "anchor"), "seeds")
     # one class: all texts have the same words around the seed
     alike = shared.where("s_low = s_high and did > a_first").select("did", "th", "start", "n")
     several = shared.where("s_low < s_high").select("did", "th", "start", "n", "seg")
     classes = several.groupBy("seg").agg(F.min("did").alias("s_first"))
     judged = several.join(classes, "seg")
     later = judged.where("did > s_first").select("did", "th", "start", "n")
-    firsts = judged.where("did = s_first").select("did", "th", "start", "n", F.lit(1).cast("long").alias("weight"))
-    windows = window_table(keyed, firsts, WORDS, span).select("did", "th", "start", "h1", "h2")
+    firsts = judged.where("did = s_first").select("did", "th", "start", "n")
+    windows = window_table(keyed, firsts, WORDS, span, _window, ["did", "th", "start", "h1", "h2"], [])
     met = windows.groupBy("h1", "h2").agg(F.min("did").alias("w_first"), F.max("did").alias("w_last")).where("w_first < w_last").select("h1", "h2", "w_first")
     extended = windows.join(met, ["h1", "h2"]).where("did > w_first").select("did", "th", "start", F.lit(1).cast("long").alias("n"))
     return covered_lists(alike, later, extended)
 
 
+def _window(data, at, place, inside, h1, h2, key, extras):
+    return [*key, place, h1, h2]
+
+
 def maximal_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, seed: int = SEED) -> DataFrame:
     """One row per maximal repeat: (id, first word, end word)."""
     keyed = row_key(df, id_col, text_col)
