@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, BYTE_POWERS, U64, WORD_POWERS, Powers, Rolling, flat_text, sliding_min, text_slices, word_arrays
+from .common import BYTE_CODES, BYTE_POWERS, U64, WORD_POWERS, Powers, Rolling, flat_text, map_arrow, sliding_min, text_slices, word_arrays
 
 SLICE_BYTES = 1 << 18
 PIECE = 1 << 21  # windows of a long text taken at once
@@ -87,7 +87,7 @@ def segment_table(keyed: DataFrame, symbols: Symbols, span: int, k: int) -> Data
                 for i in range(0, len(start), 1 << 16):
                     yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)], pa.int64()) for c in columns], ["did", "th", "start", "n", "anchor", "seg"])
 
-    return keyed.select("did", "th", "text").mapInArrow(run, SEGMENT_SCHEMA)
+    return map_arrow(keyed.select("did", "th", "text"), run, SEGMENT_SCHEMA)
 
 
 def window_table(keyed: DataFrame, wanted: DataFrame, symbols: Symbols, span: int, form: Callable, names: list[str], extra: list[str]) -> DataFrame:
@@ -123,7 +123,7 @@ def window_table(keyed: DataFrame, wanted: DataFrame, symbols: Symbols, span: in
                     columns = form(data, at, place, inside, *hashes, (did[key], th[key]), [np.repeat(x[of][i : i + CHUNK], m) for x in extras])
                     yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64), pa.int64()) for c in columns], names)
 
-    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    return map_arrow(rows, run, ", ".join(f"{c} bigint" for c in names))
 
 
 CHUNK = 512  # segments

@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 KNOWN = 400_000  # entries in one generation of a worker's memory; a cache's size
 KNOWN_PAIRS = 1_000_000
 BLANKS = re.compile(r"^ |\s ").search
@@ -271,7 +273,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "d
 
     rows = df.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row_id {kind}, text string, ids array<bigint>").withColumnRenamed("row_id", id_col)
+    return map_arrow(rows, run, f"row_id {kind}, text string, ids array<bigint>").withColumnRenamed("row_id", id_col)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,4 +293,4 @@ def round_trip(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id"
 
     rows = df.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("row_id", id_col)
+    return map_arrow(rows, run, f"row_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("row_id", id_col)

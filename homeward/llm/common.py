@@ -8,8 +8,10 @@ batch without a Python object per word.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ SEPARATORS = b" \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 U64 = np.uint64
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +54,16 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver found
+    it, whatever the working directory."""
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [ROOT, *paths] if p)
+    return df.mapInArrow(function, schema)
+
+
 def row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, th, text): an identity of each row that survives recomputation.
     A null id sorts after all others; null text is empty.  Rows that repeat

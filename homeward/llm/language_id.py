@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_text, text_slices
+from .common import flat_text, map_arrow, text_slices
 
 UNDETERMINED = "und"
 SLICE_BYTES = 1 << 20
@@ -144,7 +144,7 @@ def learn(df: DataFrame, spec: NgramSpec = NgramSpec(), *, text_col: str = "text
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())], ["lang", "bucket", "n"])
 
-    totals = rows.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    totals = map_arrow(rows, count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # at most (buckets + 1) counts for each language
     found = totals.toPandas()
     languages = sorted(found["lang"].unique())
@@ -196,7 +196,7 @@ def predict(df: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
 
     rows = df.select(*columns)
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(score, schema)
+    return map_arrow(rows, score, schema)
 
 
 def held_out(id_column: Column, folds: int = 5) -> Column:

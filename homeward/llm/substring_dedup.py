@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WORDS, covered_lists, found_runs, segment_table, window_table, with_runs
-from .common import row_key, stage_table
+from .common import map_arrow, row_key, stage_table
 
 SPAN = 50
 SEED = 20
@@ -72,7 +72,7 @@ def maximal_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays([ids, pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["row_id", "first_word", "end_word"])
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row_id {kind}, first_word bigint, end_word bigint").withColumnRenamed("row_id", id_col)
+    return map_arrow(rows, run, f"row_id {kind}, first_word bigint, end_word bigint").withColumnRenamed("row_id", id_col)
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, seed: int = SEED, digest: bool = False) -> DataFrame:
@@ -96,5 +96,5 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())], ["row_id", "n_words", "n_removed", "kept"])
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"row_id {kind}, n_words bigint, n_removed bigint, kept string")
+    out = map_arrow(rows, run, f"row_id {kind}, n_words bigint, n_removed bigint, kept string")
     return out.withColumnsRenamed({"row_id": id_col, "kept": "kept_sha256" if digest else "kept"})

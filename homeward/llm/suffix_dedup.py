@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import BYTES, covered_lists, found_runs, segment_table, window_table, with_runs
-from .common import U64, row_key, stage_table
+from .common import U64, map_arrow, row_key, stage_table
 
 SPAN = 400
 ANCHOR = 200
@@ -110,7 +110,7 @@ def repeated_suffixes(suffixes: DataFrame, buckets: int) -> DataFrame:
     """(seg, inside) of suffixes (lead, h1, tag, seg) that occur again."""
     # an explicit number: both readers below must see the same buckets
     dealt = suffixes.repartitionByRange(buckets, "lead", "h1", "tag", "seg")
-    sorted_ = dealt.mapInArrow(_sorted_bucket, BUCKET_SCHEMA)
+    sorted_ = map_arrow(dealt, _sorted_bucket, BUCKET_SCHEMA)
     key = ["lead", "h1", "h2"]
     # two rows for each bucket at most
     across = sorted_.where(F.col("kind") == RUN).groupBy(*key).agg(F.sum("total").alias("across")).where("across >= 2")
@@ -163,5 +163,5 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             )
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"row_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if digest else 'binary'}")
+    out = map_arrow(rows, run, f"row_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if digest else 'binary'}")
     return out.withColumnsRenamed({"row_id": id_col, "kept": "kept_sha256" if digest else "kept"})
