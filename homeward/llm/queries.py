@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, personal_data, quality_rules, substring_dedup, suffix_dedup, url_filter
+from . import byte_bpe, decontaminate, jaccard_join, language_id, personal_data, quality_rules, substring_dedup, suffix_dedup, url_filter, warc
 from .common import table
 
 
@@ -53,11 +53,24 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_and_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -65,7 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_personal_data": op5_personal_data,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op8_warc": op8_warc,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
