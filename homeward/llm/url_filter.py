@@ -62,8 +62,8 @@ class LinearSpec:
     bits: int = 12
     orders: tuple[int, ...] = (3, 4)
     steps: int = 24
-    rate: float = 12.0
-    decay: float = 0.001
+    rate: float = 30.0
+    decay: float = 0.0005
 
 
 def split_url(url: Column) -> tuple[Column, Column]:

@@ -1,0 +1,66 @@
+"""Small documents with every awkward case, as one table."""
+
+import random
+
+from pyspark.sql import types as T
+
+# columns whose names the operators use themselves
+CLASHING = ("did", "th", "row_id", "found", "start", "n", "seg", "anchor", "vid", "comp", "size", "score", "lang_pred", "spans", "hits", "kept", "n_words", "failures", "host", "path", "rule", "verdict", "record", "last", "time")
+
+
+def words(seed, n, vocabulary=400):
+    r = random.Random(seed)
+    return [f"w{r.randrange(vocabulary)}" for _ in range(n)]
+
+
+def documents():
+    """(doc_id, text, lang)."""
+    base = words(1, 300)
+    near = list(base)
+    near[150] = "changed"
+    passage = " ".join(words(2, 90))
+    rows = [
+        (1, None, "en"),
+        (2, "", "en"),
+        (3, " \t\n\x0b ", None),
+        (4, "one", "en"),
+        (5, "one two three four", "en"),
+        (6, " ".join(base), "en"),
+        (7, " ".join(base), "en"),  # a copy
+        (8, " ".join(near), "en"),  # a near copy
+        (8, " ".join(near), "en"),  # a repeated row
+        (9, " ".join(words(3, 40)) + " " + passage + "\n" + " ".join(words(4, 30)), "fr"),
+        (10, passage + " " + " ".join(words(5, 60)), "fr"),
+        (11, " ".join(words(6, 70)) + " " + passage, None),
+        (12, " ".join(words(7, 30_000, 50_000)) + " " + passage, "de"),  # very long
+        (13, "same line\nsame line\nother\n\nsame line", "de"),
+        (14, "café é😀 ñ 中文 " * 60, "es"),
+        (15, "x" * 200_000, "es"),  # one very long word
+        (None, "no id here " + passage, "fr"),
+        (None, "no id here " + passage, "fr"),
+        (16, "mail a.b+c@d-e.example.org, or x@y@z.w.v; call +1 (555) 010-9999 now", "en"),
+        (17, "card 4111 1111 1111 1111 and 4111-1111-1111-1112 at 10.0.0.255 10.0.0.256 1.2.3.4.5.6.7.8", "en"),
+        (18, "iban DE89370400440532013000 not DE89370400440532013001; ssn 078-05-1120", "en"),
+        (19, "1 2 3 4 5 6 7 8 9 " * 3000, "en"),
+        (20, "a.b" * 3000 + "@" + "c." * 3000 + "d", "en"),
+    ]
+    return rows
+
+
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType())])
+
+
+def table(spark, rows=None):
+    rows = documents() if rows is None else rows
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def clashing(df):
+    """``df`` with extra columns of every clashing name."""
+    from pyspark.sql import functions as F
+
+    return df.select("*", *[F.lit("x").alias(c) for c in CLASHING])
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
