@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, BYTE_POWERS, U64, WORD_POWERS, Powers, Rolling, flat_text, map_arrow, sliding_min, text_slices, word_arrays
+from .common import BYTE_CODES, BYTE_POWERS, NO_ID, U64, WORD_POWERS, Powers, Rolling, flat_text, map_arrow, sliding_min, text_slices, word_arrays
 
 SLICE_BYTES = 1 << 18
 PIECE = 1 << 21  # windows of a long text taken at once
@@ -152,7 +152,12 @@ def covered_lists(*parts: DataFrame) -> DataFrame:
 
 
 def with_runs(keyed: DataFrame, found: DataFrame) -> DataFrame:
-    return keyed.join(found, ["did", "th"], "left").select("row_id", "text", "found")
+    """(row_id, text, found) of all rows.  The id is made from its key, so
+    that this join shuffles the same columns of the texts as the one in
+    ``window_table`` and Spark shuffles them once."""
+    kind = keyed.schema["row_id"].dataType
+    row_id = F.when(F.col("did") < NO_ID, F.col("did")).cast(kind).alias("row_id")
+    return keyed.select("did", "th", "text").join(found, ["did", "th"], "left").select(row_id, "text", "found")
 
 
 def found_runs(column: pa.Array, span: int):

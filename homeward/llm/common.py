@@ -26,6 +26,7 @@ SEPARATORS = b" \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 U64 = np.uint64
+NO_ID = 2**63 - 1  # the key of a null id, larger than all others
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -70,7 +71,7 @@ def row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     id and text share a key and get the same result."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return df.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("did"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("did"),
         F.xxhash64(text).alias("th"),
         F.col(id_col).alias("row_id"),
         text.alias("text"),
