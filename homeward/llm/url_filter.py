@@ -54,7 +54,8 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
         for i, word in enumerate(words):
             top = ("com", "net", "org")[i % 3]
             rows += [(f"http://{pre}{word}.example.{top}/{tail_}", label) for pre in ("", "www.", "m.", "blog.") for tail_ in ("en/1", "fr/20.html", "de/300/")]
-    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(y).alias("label")) for u, y in rows])))
+    # one partition, so that the steps of training need no shuffle
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(y).alias("label")) for u, y in rows])))
 
 
 @dataclass(frozen=True)
@@ -109,10 +110,11 @@ def train(labelled: DataFrame, spec: LinearSpec = LinearSpec(), *, url_col: str
     with a null url or label are left out; a table without rows gives zeros."""
     host, path = split_url(F.col(url_col))
     rows = labelled.where(F.col(url_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(label_col).cast("double").alias("y"), features(host, path, spec).alias("g"))
-    rows = rows.where(F.size("g") > 0)
+    rows = rows.where(F.size("g") > 0).persist()
     n = rows.count()
     weights, bias = [0.0] * (1 << spec.bits), 0.0
     if not n:
+        rows.unpersist()
         return weights, bias
     for _ in range(spec.steps):
         error = (probability(F.col("g"), weights, bias) - F.col("y")) / F.lit(float(n))
@@ -120,11 +122,12 @@ def train(labelled: DataFrame, spec: LinearSpec = LinearSpec(), *, url_col: str
         terms = F.concat(F.array(F.struct(F.lit(-1).alias("b"), F.lit(1.0).alias("v"))), F.transform("g", lambda b: F.struct(b.alias("b"), (1 / F.sqrt(F.size("g"))).alias("v"))))
         step = rows.select(error.alias("e"), F.inline(terms)).groupBy("b").agg(F.sum(F.col("e") * F.col("v")).alias("d"))
         weights = [w * (1 - spec.decay) for w in weights]
-        for b, d in step.toLocalIterator():
+        for b, d in step.collect():
             if b < 0:
                 bias -= spec.rate * d / math.sqrt(4.0)
             else:
                 weights[b] -= spec.rate * d
+    rows.unpersist()
     return weights, bias
 
 
