@@ -17,10 +17,10 @@ from .functions.geo import epoch_seconds, haversine_m
 from .functions.grid import METRIC, UNIFORM_176, CellKeys, SlotKeys
 from .operators.clean import distinct_rows, nonzero_coordinates, positive_duration
 from .operators.expand import neighbour_clones, time_clones, with_cells, with_time_slot
-from .operators.joins import distance_join, gap_join
+from .operators.joins import count_gap_pairs, distance_gap_join, distance_join
 from .operators.summary import count_rows, first_rows
 from .plans.return_trips import (
-    TWO_LEVEL_LAYOUT,
+    Layout,
     MatchSpec,
     count_candidates,
     count_return_trips,
@@ -28,11 +28,11 @@ from .plans.return_trips import (
     match_return_trips,
     trip_table,
 )
-from .session import tune
 from .sources.schema import TRIP_FIELDS
-from .sources.testdata import clean_trips, raw_trips
+from .sources.testdata import clean_trips, corrupt_trips, raw_trips
 
 SAMPLE_ROWS = 5000
+FINE_LAYOUT = Layout(pairs=16)
 
 _TIME_NAMES = {
     "tpep_pickup_datetime": "pickup_s",
@@ -169,14 +169,12 @@ def q_time_clones_both_sides(spark, sf_dir):
 
 def q_spatial_bucket_join_count(spark, sf_dir):
     """Candidates of the classic space-only bucket join (3 x 3 blocks)."""
-    tune(spark)
     spec = MatchSpec(neighbours="fixed", slot_mode="none")
     return count_candidates(clean_trips(spark, sf_dir), spec)
 
 
 def q_spacetime_bucket_join_count(spark, sf_dir):
     """Candidates of the classic space and time bucket join."""
-    tune(spark)
     spec = MatchSpec(neighbours="fixed", slot_mode="fixed")
     return count_candidates(clean_trips(spark, sf_dir), spec)
 
@@ -189,61 +187,69 @@ def _roles(spark, sf_dir):
 
 
 def q_gap_join_count(spark, sf_dir):
-    tune(spark)
     a, b = _roles(spark, sf_dir)
-    return count_rows(gap_join(a, b, "a_dropoff_ts", "b_pickup_ts", max_gap_s=28800))
+    return count_gap_pairs(a, b, "a_dropoff_ts", "b_pickup_ts", max_gap_s=28800)
 
 
 def q_distance_join_count(spark, sf_dir):
-    tune(spark)
     a, b = _roles(spark, sf_dir)
     pairs = distance_join(a, b, ("a_dropoff_lat", "a_dropoff_lon"), ("b_pickup_lat", "b_pickup_lon"), 100.0)
     return count_rows(pairs)
 
 
+def q_distance_gap_join_count(spark, sf_dir):
+    """Dropoffs and later pickups within 100 m and 8 h."""
+    a, b = _roles(spark, sf_dir)
+    points = ("a_dropoff_lat", "a_dropoff_lon"), ("b_pickup_lat", "b_pickup_lon")
+    return count_rows(distance_gap_join(a, b, *points, "a_dropoff_ts", "b_pickup_ts"))
+
+
 # ---- whole queries ------------------------------------------------------
 
 
 def q_return_trips(spark, sf_dir):
-    tune(spark)
     return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir)))
 
 
 def q_return_trips_two_level(spark, sf_dir):
-    """The canonical match with the layout used for large inputs forced
-    (coarse shuffle, fine clones after it, hot-key detection)."""
-    tune(spark)
-    return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir), layout=TWO_LEVEL_LAYOUT))
+    """The canonical match with both levels of splitting forced: keys of
+    more than a few candidates go to fine keys, and those to parts."""
+    return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir), layout=FINE_LAYOUT))
 
 
 def q_return_trips_fixed_grid(spark, sf_dir):
-    tune(spark)
     return with_epoch_seconds(match_return_trips(clean_trips(spark, sf_dir), neighbours="fixed"))
 
 
 def q_return_trips_clean(spark, sf_dir):
-    tune(spark)
     return with_epoch_seconds(match_return_trips(raw_trips(spark, sf_dir), clean=True))
 
 
 def q_return_trips_distinct(spark, sf_dir):
-    tune(spark)
     return with_epoch_seconds(match_return_trips(raw_trips(spark, sf_dir), distinct=True))
 
 
 def q_return_trips_adjacent_slots(spark, sf_dir):
-    tune(spark)
     return with_epoch_seconds(match_adjacent_slots(clean_trips(spark, sf_dir)))
 
 
+def q_return_trips_bad_coordinates(spark, sf_dir):
+    """The canonical match of trips among which some have no, infinite,
+    huge, undefined or out-of-range coordinates."""
+    return with_epoch_seconds(match_return_trips(corrupt_trips(spark, sf_dir)))
+
+
+def q_return_trips_adjacent_uniform(spark, sf_dir):
+    """The script variant on its own uniform grid and 3 x 3 blocks."""
+    return with_epoch_seconds(match_adjacent_slots(clean_trips(spark, sf_dir), grid=UNIFORM_176, neighbours="fixed"))
+
+
 def q_return_trips_limited(spark, sf_dir):
-    tune(spark)
     sample = first_rows(nonzero_coordinates(raw_trips(spark, sf_dir)), SAMPLE_ROWS, order=TRIP_FIELDS)
     return with_epoch_seconds(match_adjacent_slots(sample))
 
 
 def q_return_trips_count(spark, sf_dir):
-    tune(spark)
     return count_return_trips(raw_trips(spark, sf_dir))
 
 
@@ -267,12 +273,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spacetime_bucket_join_count": q_spacetime_bucket_join_count,
     "gap_join_count": q_gap_join_count,
     "distance_join_count": q_distance_join_count,
+    "distance_gap_join_count": q_distance_gap_join_count,
     "return_trips": q_return_trips,
     "return_trips_two_level": q_return_trips_two_level,
     "return_trips_fixed_grid": q_return_trips_fixed_grid,
     "return_trips_clean": q_return_trips_clean,
     "return_trips_distinct": q_return_trips_distinct,
     "return_trips_adjacent_slots": q_return_trips_adjacent_slots,
+    "return_trips_adjacent_uniform": q_return_trips_adjacent_uniform,
+    "return_trips_bad_coordinates": q_return_trips_bad_coordinates,
     "return_trips_limited": q_return_trips_limited,
     "return_trips_count": q_return_trips_count,
 }

@@ -46,6 +46,7 @@ SCRIPT_TIME_SLOT_S = 28800  # time bucket of the adjacent-slot variant (8 h)
 # Latitude from which longitude collapses to one polar key ("reach" mode).
 POLAR_LAT_DEG = 89.0
 POLAR_LON_KEY = -(2**62)
+OUTERMOST_CELL = float(2**61)
 # Relative widening of the reach so that rounding never loses a pair.
 REACH_MARGIN = 1.0001
 
@@ -61,7 +62,10 @@ class GridSpec:
 
     def _cell(self, x: Column, scale: float) -> Column:
         shifted = x + F.lit(self.offset) if self.offset else x
-        return F.floor(shifted * F.lit(scale))
+        # far beyond any place on earth, cells stop: neighbours of the
+        # outermost ones must still fit into a long
+        inside = F.greatest(F.least(shifted * F.lit(scale), F.lit(OUTERMOST_CELL)), F.lit(-OUTERMOST_CELL))
+        return F.floor(inside)
 
     def lat_cell(self, lat: Column) -> Column:
         return self._cell(lat, self.lat_scale)
@@ -99,7 +103,6 @@ UNIFORM_176 = GridSpec(
     lon_scale=float(UNIFORM_CELLS_PER_DEG),
     offset=float(UNIFORM_OFFSET_DEG),
 )
-GRIDS = {"metric": METRIC, "uniform176": UNIFORM_176}
 
 
 def time_slot(epoch_s: Column, width_s: int) -> Column:

@@ -1,11 +1,13 @@
 from .clean import clean, distinct_rows, nonzero_coordinates, positive_duration
 from .expand import explode_keys, neighbour_clones, time_clones, with_cells, with_time_slot
-from .joins import distance_join, gap_join, keyed_join
+from .joins import count_gap_pairs, distance_gap_join, distance_join, gap_join, keyed_join
 from .summary import count_rows, first_rows
 
 __all__ = [
     "clean",
+    "count_gap_pairs",
     "count_rows",
+    "distance_gap_join",
     "distance_join",
     "distinct_rows",
     "explode_keys",

@@ -9,20 +9,13 @@ engine.  Double literals are written in exponent form (DuckDB reads
 
 from __future__ import annotations
 
-from .functions.grid import METRIC, REACH_MARGIN, UNIFORM_176
-from .functions.geo import EARTH_RADIUS_M
-
-import math
-
-
-def _d(x: float) -> str:
-    return f"{x:.17e}"
-
-
-K_LAT = _d(METRIC.lat_scale)
-K_LON = _d(METRIC.lon_scale)
-REACH_DEG = _d(math.degrees(100.0 * REACH_MARGIN / EARTH_RADIUS_M))
-U = _d(UNIFORM_176.lat_scale)
+# 101 m cells per degree of latitude, and of longitude at the
+# grid's latitude limit; degrees that 100 m and a ten-thousandth span; cells
+# per degree of the uniform grid.
+K_LAT = "1100.9398677679083e0"
+K_LON = "535.278989513407e0"
+REACH_DEG = "8.994115380793224e-4"
+U = "176e0"
 
 BASE = """
 parts AS (
@@ -268,6 +261,27 @@ FROM trips a JOIN trips b ON b.pickup_s > a.dropoff_s AND b.pickup_s < a.dropoff
     + f"""
 SELECT count(*) AS n FROM ca a JOIN cb b ON a.cy = b.cy AND a.cx = b.cx
 WHERE {hav('b.pickup_lat', 'a.dropoff_lat', 'b.pickup_lon', 'a.dropoff_lon')} <= 100""",
+    "distance_gap_join_count": _with(
+        BASE,
+        """ca AS (
+    SELECT dropoff_s, dropoff_lat, dropoff_lon, CAST(floor(dropoff_lat * 1000) AS BIGINT) AS cy,
+           CAST(floor(dropoff_lon * 700) AS BIGINT) AS cx, dropoff_s // 28800 AS slot
+    FROM trips
+)""",
+        """cb AS (
+    SELECT pickup_s, pickup_lat, pickup_lon, CAST(floor(pickup_lat * 1000) AS BIGINT) + o1.y AS cy,
+           CAST(floor(pickup_lon * 700) AS BIGINT) + o2.x AS cx, pickup_s // 28800 + o3.t AS slot
+    FROM trips CROSS JOIN (VALUES (-1), (0), (1)) o1(y) CROSS JOIN (VALUES (-1), (0), (1)) o2(x) CROSS JOIN (VALUES (-1), (0)) o3(t)
+)""",
+    )
+    + f"""
+SELECT count(*) AS n FROM ca a JOIN cb b ON a.cy = b.cy AND a.cx = b.cx AND a.slot = b.slot
+WHERE a.dropoff_s < b.pickup_s AND b.pickup_s < a.dropoff_s + 28800
+  AND {hav('b.pickup_lat', 'a.dropoff_lat', 'b.pickup_lon', 'a.dropoff_lon')} <= 100""",
+    # a trip with a corrupt pickup has no partner: none drops off there
+    "return_trips_bad_coordinates": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",
+    "return_trips_adjacent_uniform": _with(BASE, _pairs("trips", adjacent=True, select=ADJ_SELECT))
+    + "\nSELECT p.* FROM pairs p CROSS JOIN (VALUES (0), (1)) twice(c)",
     "return_trips": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",
     "return_trips_two_level": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",
     "return_trips_fixed_grid": _with(BASE, _pairs("trips")) + "\nSELECT * FROM pairs",

@@ -3,16 +3,17 @@ from .return_trips import (
     ADJACENT_SPEC,
     CANONICAL_SPEC,
     PAIR_COLUMNS,
-    SINGLE_LAYOUT,
-    TWO_LEVEL_LAYOUT,
     Layout,
     MatchSpec,
     count_candidates,
     count_return_trips,
+    join_partitions,
     match_adjacent_slots,
     match_pairs,
     match_return_trips,
+    matchable,
     return_trip_candidates,
+    split_keys,
     spread,
     trip_table,
 )
@@ -22,16 +23,17 @@ __all__ = [
     "ADJACENT_SPEC",
     "CANONICAL_SPEC",
     "PAIR_COLUMNS",
-    "SINGLE_LAYOUT",
-    "TWO_LEVEL_LAYOUT",
     "Layout",
     "MatchSpec",
     "count_candidates",
     "count_return_trips",
+    "join_partitions",
     "match_adjacent_slots",
     "match_pairs",
     "match_return_trips",
+    "matchable",
     "return_trip_candidates",
+    "split_keys",
     "spread",
     "trip_table",
 ]

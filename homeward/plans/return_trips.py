@@ -21,20 +21,23 @@ Each pair meets in exactly one (to, back) clone combination, so the
 result is a bag with the input's multiplicities and needs no
 de-duplication.
 
-Two layouts (``Layout``; the result is the same):
-
-* ``single``: shuffle the fine clones (about 20 rows per trip).
-* ``two_level`` (default when co-partitioning is allowed): shuffle each
-  outbound trip once and each return trip to the 1 km / 1 day coarse
-  keys it can pair in (about 3 rows per trip), then clone to fine keys
-  after the shuffle; the join on coarse + fine keys reuses the coarse
-  partitioning, so the fine clones never cross the network.  Hot coarse
-  keys are counted first and routed to the fine-key shuffle.
+One plan at every size, in two resolutions:
+
+* Each trip is cloned to *coarse* keys (``Layout.coarse`` fine cells wide,
+  about 6 rows per trip for both sides instead of about 20), one exchange
+  per side.
+* Keys are counted before the match (partial aggregation, one row per key
+  and task).  Where the candidates of a coarse key, outbound rows times
+  return rows, pass ``Layout.pairs``, its rows carry their fine clones
+  instead; where those of a fine key still do, the outbound rows are dealt
+  to parts of it by a hash and the return rows go to every part.  So no task
+  is given many more candidates than that, however dense a place is.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -46,9 +49,8 @@ from ..functions.grid import (
     REACH_MARGIN,
     SCRIPT_TIME_SLOT_S,
     TIME_SLOT_S,
-    UNIFORM_176,
-    CellKeys,
     CELL_EDGE_M,
+    CellKeys,
     GridSpec,
     SlotKeys,
     metric_grid,
@@ -115,30 +117,36 @@ def trip_table(trips: DataFrame, cols: TripColumns = YELLOW_CAB) -> DataFrame:
     return trips.select(*[F.col(src).alias(dst) for src, dst in zip(cols.names(), CANONICAL)])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the input fills
-    fewer splits than there are cores (a small file is one split, and its
-    rows may sit in one row group; cloning them in one task would
-    serialise the map side).  A large input is left as it is: its splits
-    already spread the work.
-
-    The split count is taken from the plan's size estimate, which runs no
-    job (asking the RDD for its partitions would, under AQE, execute any
-    shuffle below it)."""
-    spark = df.sparkSession
-    estimate = _estimated_bytes(df)
-    if estimate is None:
-        return df
-    target = parallelism(spark)
-    splits = estimate // _max_partition_bytes(spark) + 1
-    return df.repartition(target) if splits < target else df
+def matchable(base: DataFrame) -> DataFrame:
+    """Rows that can be in a pair: no null, and finite coordinates (no
+    distance to NaN or infinity is within a radius).  Finite values out of
+    range stay: equal ones match by definition.  Plain comparisons on input
+    columns, so such rows never reach an exchange."""
+    cond = None
+    for name in CANONICAL:
+        term = F.col(name).isNotNull()
+        if not name.endswith("_ts"):
+            term = term & (F.abs(F.col(name)) < F.lit(float("inf")))
+        cond = term if cond is None else cond & term
+    return base.where(cond)
+
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over the cluster's cores when the input has fewer
+    splits than there are cores: a small file, or one of any size that
+    cannot be split (gzip), would be cloned in one task.
 
-def _max_partition_bytes(spark) -> int:
+    Real splits are counted, which runs no job as long as the plan has no
+    exchange; behind an exchange the rows are dealt already."""
     try:
-        return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    except Exception:  # pragma: no cover
-        return 128 * 1024 * 1024
+        query = df._jdf.queryExecution()
+        if "Exchange" in query.executedPlan().toString():
+            return df
+        splits = query.toRdd().getNumPartitions()
+    except Exception:  # pragma: no cover - no access to the plan (Spark Connect)
+        return df
+    target = parallelism(df.sparkSession)
+    return df.repartition(target) if 0 < splits < target else df
 
 
 def parallelism(spark) -> int:
@@ -197,190 +205,152 @@ def _sides(base: DataFrame, spec: MatchSpec) -> tuple[DataFrame, DataFrame, list
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the work of a match runs (never changes the result).
-
-    ``plan``: ``"two_level"`` shuffles each outbound trip once and each
-    return trip to the few *coarse* cells and slots it can pair in
-    (about 3 rows per trip instead of about 20), and makes the fine
-    100 m / 8 h clones after the shuffle, inside the co-partitioned
-    join.  It needs ``spark.sql.requireAllClusterKeysForCoPartition=false``
-    (``session.tune``).  ``"single"`` shuffles the fine keys directly.
-    ``"auto"`` picks two-level when co-partitioning is allowed and the
-    input's estimated size is at least ``two_level_min_bytes`` (or
-    unknown): below that the fine clones' shuffle is a few GB that stay on
-    local disks, and the simpler plan, with AQE coalescing and skew
-    splitting, is faster; above it the shuffled bytes dominate.
-
-    Hot coarse keys (more than ``hot_rows`` outbound or return rows) are
-    found by one partially aggregated count before the match; their rows take
-    the fine-key shuffle instead, where the key is 100 m x 8 h and AQE
-    splits what is still skewed.  At most ``max_hot_keys`` keys are
-    collected (their number is bounded by rows / ``hot_rows``); beyond
-    that the whole match takes the fine-key shuffle.
-
-    ``join``: the partition-local join of the two-level plan.  ``"merge"``
-    (sort-merge) spills and works at any partition size; ``"hash"``
-    (shuffled hash, outbound fine clones as the build side) is about a
-    quarter faster but holds a partition's build side in memory, which
-    nothing bounds in general; use it when partitions are known small.
+    """How the work of a match is cut (never changes the result).
+
+    ``coarse``: edge of a coarse cell in fine cells.  ``pairs``: candidates
+    of a key beyond which it is split.  ``partitions``: of each exchange; by
+    default from the input's size (``join_partitions``).
     """
 
-    plan: str = "auto"
-    two_level_min_bytes: int = 1 << 30
-    join: str = "merge"
-    coarse_cell_m: float = 1000.0
-    coarse_slot_s: int = 86400
+    coarse: int = 4
+    pairs: int = 4_000_000
     partitions: int | None = None
-    hot_rows: int = 2_000_000
-    max_hot_keys: int = 100_000
-    detect_hot_keys: bool = True
 
 
 DEFAULT_LAYOUT = Layout()
-SINGLE_LAYOUT = Layout(plan="single")
-TWO_LEVEL_LAYOUT = Layout(plan="two_level")
 
-_COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
+# bytes of a cloned row in an exchange, clones of a trip on both sides
+_ROW_BYTES, _CLONES, _PARTITION_BYTES = 150, 6, 128 << 20
 
 
-def _coarse_to(to: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFrame, list[str]]:
-    cells = CellKeys(metric_grid(max(layout.coarse_cell_m, 10 * spec.radius_m)), spec.radius_m, "reach")
-    plat, plon = cells.exact(F.col("to_pickup_lat"), F.col("to_pickup_lon"))
-    dlat, dlon = cells.exact(F.col("to_dropoff_lat"), F.col("to_dropoff_lon"))
-    keys = {"_tc_plat": plat, "_tc_plon": plon, "_tc_dlat": dlat, "_tc_dlon": dlon}
-    slots = _coarse_slots(spec, layout)
-    if slots is not None:
-        keys["_tc_slot"] = slots.exact(_epoch(to, "to_dropoff_ts"))
-    return to.withColumns(keys), list(keys)
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """The planner's estimate; None where it has none (Spark then gives a
+    number near the largest long, e.g. for rows made in the driver)."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - no JVM plan access (e.g. Spark Connect)
+        return None
+    return size if size < 1 << 56 else None
 
 
-def _coarse_back(back: DataFrame, spec: MatchSpec, layout: Layout) -> tuple[DataFrame, list[str]]:
-    cells = CellKeys(metric_grid(max(layout.coarse_cell_m, 10 * spec.radius_m)), spec.radius_m, "reach")
-    dlat, dlon = cells.reach(F.col("back_dropoff_lat"), F.col("back_dropoff_lon"))
-    plat, plon = cells.reach(F.col("back_pickup_lat"), F.col("back_pickup_lon"))
-    keys = {"_bc_dlat": dlat, "_bc_dlon": dlon, "_bc_plat": plat, "_bc_plon": plon}
-    slots = _coarse_slots(spec, layout)
-    if slots is not None:
-        keys["_bc_slot"] = slots.reach(_epoch(back, "back_pickup_ts"))
-    return explode_keys(back, keys), list(keys)
+def join_partitions(spark, estimate: int | None, row_bytes: int = 56) -> int:
+    """Partitions of an exchange of cloned trips, from the estimated bytes
+    of the trips: the session's setting, or as many as keep a partition at
+    128 MB, whichever is more."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if estimate is None:
+        return least
+    return max(least, math.ceil(estimate / row_bytes * _CLONES * _ROW_BYTES / _PARTITION_BYTES))
 
 
-def _coarse_slots(spec: MatchSpec, layout: Layout) -> SlotKeys | None:
-    if spec.slots is None:
-        return None
-    # adjacent fine slots pair gaps below two slot widths
-    bound = spec.max_gap_s if spec.slot_mode != "adjacent" else 2 * spec.slot_width_s
-    return SlotKeys(max(layout.coarse_slot_s, 3 * bound), bound, 0, "reach")
-
-
-def _hot_keys(counts: DataFrame, keys: list[str], layout: Layout) -> DataFrame | None | str:
-    """Coarse keys with more than ``hot_rows`` rows on a side (``counts``:
-    keys and per-side counts ``_n``), as a small DataFrame; ``None`` if
-    there are none, ``"many"`` if more than ``max_hot_keys``."""
-    top = counts.groupBy(*keys).agg(F.max("_n").alias("_n"))
-    hot = top.where(F.col("_n") > layout.hot_rows).select(*keys)
-    rows = hot.limit(layout.max_hot_keys + 1).collect()
-    if not rows:
-        return None
-    if len(rows) > layout.max_hot_keys:
-        return "many"
-    return counts.sparkSession.createDataFrame(rows, schema=hot.schema)
+_KEYS = ("_k1", "_k2", "_k3", "_k4")  # cells of a.pickup ~ b.dropoff, a.dropoff ~ b.pickup
+_SLOT = "_k5"
+_COARSE = tuple(f"_c{i}" for i in range(1, 5))
 
 
-def _split_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFrame:
-    """Rows whose coarse key is (``left_semi``) or is not (``left_anti``) hot."""
-    h = hot.toDF(*[f"_hot_{i}" for i in range(len(keys))])
-    cond = None
-    for i, k in enumerate(keys):
-        term = F.col(k) == F.col(f"_hot_{i}")
-        cond = term if cond is None else cond & term
-    return df.join(F.broadcast(h), cond, how)
+def _key_arrays(df: DataFrame, spec: MatchSpec, outbound: Column) -> dict[str, Column]:
+    """Fine keys of each row as arrays, for the role that ``outbound`` says."""
+    cells, slots = spec.cells, spec.slots
+    pickup = F.col("pickup_lat"), F.col("pickup_lon")
+    dropoff = F.col("dropoff_lat"), F.col("dropoff_lon")
+    near_pickup, at_dropoff = cells.reach(*pickup), [F.array(c) for c in cells.exact(*dropoff)]
+    out = {}
+    for i in (0, 1):
+        out[_KEYS[i]] = F.when(outbound, near_pickup[i]).otherwise(at_dropoff[i])
+        out[_KEYS[i + 2]] = F.when(outbound, at_dropoff[i]).otherwise(near_pickup[i])
+    if slots is None:
+        out[_SLOT] = F.array(F.lit(0).cast("long"))
+    else:
+        own = F.array(slots.exact(_epoch(df, "dropoff_ts")))
+        out[_SLOT] = F.when(outbound, own).otherwise(slots.reach(_epoch(df, "pickup_ts")))
+    return out
 
 
-# Below this many estimated bytes per ``hot_rows`` the input is small
-# enough that an exact row count is cheap; above it detection runs
-# directly.  Either way a key is only treated as cold on an exact count.
-_COUNT_BYTES_PER_ROW = 64
+def _coarse_rows(df: DataFrame, spec: MatchSpec, layout: Layout, outbound: Column) -> DataFrame:
+    """One row per coarse key and slot of each trip; the fine keys stay
+    arrays."""
 
+    def coarse(x: Column) -> Column:
+        return x - F.pmod(x, F.lit(layout.coarse))
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - no JVM plan access (e.g. Spark Connect)
-        return None
+    df = df.withColumns(_key_arrays(df, spec, outbound))
+    wide = {c: F.array_distinct(F.transform(F.col(k), coarse)) for c, k in zip(_COARSE, _KEYS)}
+    df = explode_keys(df, wide)
+    return explode_keys(df.withColumnRenamed(_SLOT, "_slots"), {_SLOT: F.col("_slots")}).drop("_slots")
 
 
-def _find_hot(source: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame | None | str:
-    """Hot coarse keys of ``source`` (the six columns before cleaning or
-    de-duplication: a superset of the matched rows, so its counts bound
-    theirs).  A key cannot hold more rows than the input, so when the
-    input has at most ``hot_rows`` rows no count is needed."""
-    if not layout.detect_hot_keys:
-        return None
-    # The row count proves "no hot key" for small inputs; it is skipped when
-    # the plan's size estimate already exceeds what hot_rows rows can fill
-    # (no extra pass over a large input, e.g. a CSV).
-    estimate = _estimated_bytes(source)
-    if (estimate is None or estimate <= layout.hot_rows * _COUNT_BYTES_PER_ROW) and source.count() <= layout.hot_rows:
-        return None
-    # partial count per task: one row per coarse key and task is shuffled;
-    # a key is hot when either of its sides is
-    to, tkeys = _coarse_to(_role(source, "to"), spec, layout)
-    back, bkeys = _coarse_back(_role(source, "back"), spec, layout)
-    counts = to.groupBy(*tkeys).agg(F.count(F.lit(1)).alias("_n")).unionByName(
-        back.groupBy(*[F.col(b).alias(t) for t, b in zip(tkeys, bkeys)]).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return _hot_keys(counts, tkeys, layout)
+def _fine_rows(rows: DataFrame, layout: Layout, dense: Column) -> DataFrame:
+    """Rows of dense coarse keys, one per fine key in it; other rows carry
+    one neutral fine key."""
+    neutral = F.array(F.lit(0).cast("long"))
 
+    def inside(fine: str, coarse: str) -> Column:
+        at = F.col(coarse)
+        return F.filter(F.col(fine), lambda x: x - F.pmod(x, F.lit(layout.coarse)) == at)
 
-def _two_level(
-    base: DataFrame, spec: MatchSpec, layout: Layout, residual: Column, source: DataFrame | None = None
-) -> DataFrame:
-    spark = base.sparkSession
-    # AQE neither coalesces nor splits an explicit repartition: take at
-    # least eight partitions per core so that coarse keys of uneven size
-    # pack into balanced waves.
-    n = layout.partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * parallelism(spark))
-    hot = _find_hot(base if source is None else source, spec, layout)
-    base = spread(base)
-    to, tkeys = _coarse_to(_role(base, "to"), spec, layout)
-    back, bkeys = _coarse_back(_role(base, "back"), spec, layout)
-    coarse = list(zip(tkeys, bkeys))
-    keys = coarse + _fine_keys(spec)
-
-    if isinstance(hot, str):
-        return _single_level(base, spec, residual)
-
-    cold_to, cold_back = to, back
-    parts = []
-    if hot is not None:
-        cold_to = _split_hot(to, tkeys, hot, "left_anti")
-        cold_back = _split_hot(back, bkeys, hot, "left_anti")
-        hot_to = _split_hot(to, tkeys, hot, "left_semi")
-        hot_back = _split_hot(back, bkeys, hot, "left_semi")
-        parts.append(keyed_join(_fine_to(hot_to, spec), _fine_back(hot_back, spec), keys, residual))
-
-    # One shuffle on the coarse keys; fine clones are made after it and the
-    # join on coarse + fine keys reuses that partitioning.  A hash of all
-    # keys leads the key list: the partition-local sort then orders on a
-    # near-unique 64-bit prefix (equal keys give equal hashes, so the
-    # extra key changes no match).
-    cold_to = _fine_to(cold_to.repartition(n, *tkeys), spec)
-    cold_back = _fine_back(cold_back.repartition(n, *bkeys), spec)
-    cold_to = cold_to.withColumn("_t_hash", F.xxhash64(*[F.col(t) for t, _ in keys]))
-    if layout.join == "hash":
-        cold_to = cold_to.hint("shuffle_hash")
-    cold_back = cold_back.withColumn("_b_hash", F.xxhash64(*[F.col(b) for _, b in keys]))
-    parts.insert(0, keyed_join(cold_to, cold_back, [("_t_hash", "_b_hash")] + keys, residual))
-    out = parts[0].select(*PAIR_COLUMNS)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*PAIR_COLUMNS))
-    return out
+    arrays = {f"_f{i}": F.when(dense, inside(k, c)).otherwise(neutral) for i, (k, c) in enumerate(zip(_KEYS, _COARSE), 1)}
+    return explode_keys(rows, arrays).drop(*_KEYS)
+
+
+_FINE = tuple(f"_f{i}" for i in range(1, 5))
 
 
-def _single_level(base: DataFrame, spec: MatchSpec, residual: Column) -> DataFrame:
-    to, back, keys = _sides(spread(base), spec)
-    return keyed_join(to, back, keys, residual).select(*PAIR_COLUMNS)
+def _many(rows: DataFrame, keys: Sequence[str], layout: Layout) -> DataFrame:
+    """Keys with more candidates than ``layout.pairs``, and in how many
+    parts they go: counted with partial aggregation."""
+    counts = rows.groupBy(*keys).agg(F.count_if("_out").alias("_na"), F.count_if(~F.col("_out")).alias("_nb"))
+    pairs = F.col("_na").cast("double") * F.col("_nb")
+    parts = F.least(F.col("_na"), F.ceil(pairs / F.lit(float(layout.pairs)))).cast("int")
+    return counts.where(pairs > layout.pairs).select(*keys, parts.alias("_parts"))
+
+
+def split_keys(base: DataFrame, spec: MatchSpec = CANONICAL_SPEC, layout: Layout = DEFAULT_LAYOUT) -> tuple[DataFrame, DataFrame] | None:
+    """Dense coarse keys, and the fine keys in them that go in parts; None
+    when no key is dense.  Both are counted now and kept, so that the match
+    is planned with their real sizes: Spark broadcasts them only below its
+    threshold and otherwise shuffles."""
+    roles = base.withColumn("_out", F.explode(F.array(F.lit(True), F.lit(False))))
+    rows = _coarse_rows(roles, spec, layout, F.col("_out"))
+    dense = _many(rows, [*_COARSE, _SLOT], layout).drop("_parts").persist()
+    if dense.count() == 0:
+        dense.unpersist()
+        return None
+    fine = _fine_rows(rows.join(dense, [*_COARSE, _SLOT], "left_semi"), layout, F.lit(True))
+    parts = _many(fine, [*_COARSE, *_FINE, _SLOT], layout).where("_parts > 1").persist()
+    parts.count()
+    return dense, parts
+
+
+def _side(base: DataFrame, spec: MatchSpec, layout: Layout, outbound: bool, split, n: int) -> DataFrame:
+    """One side of the match behind its one exchange: trips under the names
+    of their role, and their keys."""
+    rows = _coarse_rows(base, spec, layout, F.lit(outbound))
+    keys = [*_COARSE, *_FINE, _SLOT]
+    if split is None:
+        rows = _fine_rows(rows, layout, F.lit(False)).withColumn("_part", F.lit(0))
+    else:
+        dense, parts = split
+        rows = rows.join(dense.withColumn("_dense", F.lit(True)), [*_COARSE, _SLOT], "left")
+        rows = _fine_rows(rows, layout, F.col("_dense").isNotNull()).join(parts, keys, "left")
+        of = F.coalesce("_parts", F.lit(1))
+        if outbound:
+            rows = rows.withColumn("_part", F.pmod(F.xxhash64(*CANONICAL), of).cast("int"))
+        else:
+            rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), of - 1)))
+    role, prefix = ("to", "_t") if outbound else ("back", "_b")
+    named = rows.select(*[F.col(c).alias(f"{role}_{c}") for c in CANONICAL], *[F.col(k).alias(prefix + k) for k in [*keys, "_part"]])
+    return named.repartition(n, *[prefix + k for k in [*keys, "_part"]])
+
+
+def _match(base: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame:
+    n = layout.partitions or join_partitions(base.sparkSession, _estimated_bytes(base))
+    residual = _residual(base, spec)
+    split = split_keys(base, spec, layout)
+    to, back = (_side(base, spec, layout, outbound, split, n) for outbound in (True, False))
+    keys = [("_t" + k, "_b" + k) for k in [*_COARSE, *_FINE, _SLOT, "_part"]]
+    # both sides are cloned, which the planner's size estimate does not see:
+    # without the hint it might broadcast one
+    return keyed_join(to, back.hint("merge"), keys, residual).select(*PAIR_COLUMNS)
 
 
 def _residual(base: DataFrame, spec: MatchSpec) -> Column:
@@ -397,6 +367,11 @@ def _residual(base: DataFrame, spec: MatchSpec) -> Column:
     # the trigonometry (widened as the neighbour keys are; the distance
     # itself decides).
     dlat = F.lit(math.degrees(spec.radius_m * REACH_MARGIN / EARTH_RADIUS_M))
+    if spec.neighbours == "fixed":
+        # the classic design's own limit: the 3 x 3 block of fine cells
+        for a, b in (("to_pickup", "back_dropoff"), ("back_pickup", "to_dropoff")):
+            for one, other in zip(spec.cells.exact(F.col(a + "_lat"), F.col(a + "_lon")), spec.cells.exact(F.col(b + "_lat"), F.col(b + "_lon"))):
+                cond = cond & (F.abs(one - other) <= 1)
     cond = cond & (F.abs(F.col("back_pickup_lat") - F.col("to_dropoff_lat")) <= dlat)
     cond = cond & (F.abs(F.col("to_pickup_lat") - F.col("back_dropoff_lat")) <= dlat)
     near_1 = haversine_m(
@@ -411,20 +386,10 @@ def _residual(base: DataFrame, spec: MatchSpec) -> Column:
 def _prepare(trips: DataFrame, cols: TripColumns, clean: bool, distinct: bool) -> DataFrame:
     if clean:
         trips = clean_input(trips, cols)
-    base = trip_table(trips, cols)
+    base = matchable(trip_table(trips, cols))
     if distinct:
         base = base.dropDuplicates()  # shuffle of the narrow input, not of the result
-    return base
-
-
-def _plan_of(source: DataFrame, layout: Layout) -> str:
-    if layout.plan != "auto":
-        return layout.plan
-    relaxed = str(source.sparkSession.conf.get(_COPARTITION_CONF, "true")).lower() == "false"
-    if not relaxed:
-        return "single"
-    estimate = _estimated_bytes(source)
-    return "two_level" if estimate is None or estimate >= layout.two_level_min_bytes else "single"
+    return spread(base)
 
 
 def return_trip_candidates(
@@ -432,8 +397,8 @@ def return_trip_candidates(
 ) -> DataFrame:
     """Pairs sharing fine bucket keys, before the exact predicates (the
     candidate stage of the classic single-level join)."""
-    to, back, keys = _sides(spread(trip_table(trips, cols)), spec)
-    return keyed_join(to, back, keys)
+    to, back, keys = _sides(spread(matchable(trip_table(trips, cols))), spec)
+    return keyed_join(to, back.hint("merge"), keys)
 
 
 def count_candidates(
@@ -444,7 +409,7 @@ def count_candidates(
     return rows.  Each side is counted per key with map-side partial
     aggregation, so a hot key costs one row per task, and the two count
     tables hold each key once."""
-    to, back, keys = _sides(spread(trip_table(trips, cols)), spec)
+    to, back, keys = _sides(spread(matchable(trip_table(trips, cols))), spec)
     a = to.groupBy(*[t for t, _ in keys]).agg(F.count(F.lit(1)).alias("_na"))
     b = back.groupBy(*[r for _, r in keys]).agg(F.count(F.lit(1)).alias("_nb"))
     product = F.col("_na").cast("decimal(38,0)") * F.col("_nb").cast("decimal(38,0)")
@@ -460,12 +425,7 @@ def match_pairs(
     distinct: bool = False,
     layout: Layout = DEFAULT_LAYOUT,
 ) -> DataFrame:
-    base = _prepare(trips, cols, clean, distinct)
-    residual = _residual(base, spec)
-    source = trip_table(trips, cols)
-    if _plan_of(source, layout) == "two_level":
-        return _two_level(base, spec, layout, residual, source=source)
-    return _single_level(base, spec, residual)
+    return _match(_prepare(trips, cols, clean, distinct), spec, layout)
 
 
 def match_return_trips(

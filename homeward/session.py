@@ -1,18 +1,17 @@
-"""Session settings for the matcher.
+"""Session settings.
 
-``tune`` sets runtime SQL options on an existing session (the library
-never creates a session on its own); ``local_session`` builds one for
+The library runs in the caller's session as it is and changes none of its
+settings.  ``tune`` is for sessions that a job owns: larger shuffle
+partitions than Spark's defaults; ``local_session`` builds a session for
 tests, benchmarks and the job script.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
-# Runtime SQL options.  Static broadcast is off: the planner's size
-# estimate of an exploded side ignores the clone factor.  AQE still turns
-# a join into a broadcast when a shuffle stage *measured* a side below
-# its threshold, splits skewed join partitions, and coalesces small ones.
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,29 +19,12 @@ TUNING = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    # A join whose sides are already hash-partitioned on a subset of its
-    # keys (the coarse keys of the two-level match) keeps that layout.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
-# Catalyst copies inferred ``isnotnull(key)`` filters below the exchanges
-# of the match, where each is the whole derived key expression; on long
-# derived columns the stage's generated code grows past the JIT limit.
-# Null keys never join, so the filters are not needed for correctness.
-EXCLUDED_RULES = ("org.apache.spark.sql.catalyst.optimizer.InferFiltersFromConstraints",)
-
-
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in TUNING.items():
         spark.conf.set(key, value)
-    current = spark.conf.get("spark.sql.optimizer.excludedRules", None) or ""
-    rules = [r for r in current.split(",") if r.strip()]
-    rules += [r for r in EXCLUDED_RULES if r not in rules]
-    spark.conf.set("spark.sql.optimizer.excludedRules", ",".join(rules))
     return spark
 
 
@@ -57,7 +39,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     return fallback
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int | None = None, app: str = "homeward") -> SparkSession:
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process and so share local folders."""
+    master = spark.conf.get("spark.master", "")
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int | None = None, app: str = "homeward", memory: str | None = None
+) -> SparkSession:
+    """A local session; ``memory`` of its JVM (default: half of the machine's)."""
+    if memory is None:
+        memory = f"{max(1, os.sysconf('SC_PAGE_SIZE') * os.sysconf('SC_PHYS_PAGES') >> 31)}g"
     parts = shuffle_partitions or (8 if cores == "*" else int(cores))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -66,7 +59,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

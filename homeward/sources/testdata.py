@@ -126,3 +126,15 @@ def clean_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_raw(lineitem(spark, sf_dir))
+
+
+def corrupt_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean trips, and again those with ``k % 40 < 6`` with a corrupt pickup
+    latitude: NULL, NaN, infinity, 1e300, 1e17, 200 degrees."""
+    li = lineitem(spark, sf_dir)
+    kind = F.col("l_orderkey") % 40
+    out = trips_from_lineitem(li)
+    bad = [F.lit(None).cast("double"), F.lit(float("nan")), F.lit(float("inf")), F.lit(1e300), F.lit(1e17), F.lit(200.0)]
+    for i, b in enumerate(bad):
+        out = out.unionByName(trips_from_lineitem(li.where(kind == i)).withColumn("pickup_latitude", b))
+    return out

@@ -6,11 +6,11 @@ join's event-time range (``b.pickup`` after ``a.dropoff`` and less than
 ``max_gap_s`` later) lets Spark evict join state once the watermarks
 pass it.
 
-``lateness=None`` keeps all state (exact, for bounded sources such as a
-directory read with ``trigger(availableNow=True)``).  With a lateness,
-state is bounded, and Spark drops a trip that arrives more than
-``lateness`` behind the latest event time it has seen: the usual
-streaming contract, stated here because the batch match never drops.
+``lateness`` bounds the state: Spark drops a trip that arrives more than
+``lateness`` behind the latest event time it has seen, the usual streaming
+contract, stated here because the batch match never drops.  ``None`` keeps
+all state (exact, for bounded sources such as a directory read with
+``trigger(availableNow=True)``); it must be asked for.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from ..plans.return_trips import (
     _fine_to,
     _residual,
     _role,
+    matchable,
     trip_table,
 )
 from ..sources.schema import YELLOW_CAB, TripColumns
@@ -38,7 +39,7 @@ def stream_return_trips(
     radius_m: float = 100.0,
     max_gap_s: int = 28800,
     *,
-    lateness: str | None = None,
+    lateness: str | None,
     grid: GridSpec | None = None,
     slot_width_s: int = TIME_SLOT_S,
     cols: TripColumns = YELLOW_CAB,
@@ -48,7 +49,7 @@ def stream_return_trips(
     ``trips`` is a streaming DataFrame with TIMESTAMP event times.
     """
     spec = MatchSpec(radius_m=radius_m, max_gap_s=max_gap_s, grid=grid, slot_width_s=slot_width_s)
-    base = trip_table(trips, cols)
+    base = matchable(trip_table(trips, cols))
     to = _fine_to(_role(base, "to"), spec)
     back = _fine_back(_role(base, "back"), spec)
     if lateness is not None:

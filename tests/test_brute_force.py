@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from helpers import all_pairs, as_bag
 from homeward.catalog import with_epoch_seconds
-from homeward.operators import distance_join, gap_join
+from homeward.operators import count_gap_pairs, distance_gap_join, distance_join, gap_join
 from homeward.plans import match_adjacent_slots, match_return_trips, trip_table
-from homeward.plans.return_trips import SINGLE_LAYOUT, Layout
+from homeward.plans.return_trips import Layout
 from homeward.sources import clean_trips, raw_trips
 
 
@@ -30,14 +30,12 @@ def expected(table):
     "layout",
     [
         Layout(),
-        Layout(plan="two_level", detect_hot_keys=False),
-        SINGLE_LAYOUT,
-        Layout(plan="two_level", hot_rows=20),
-        Layout(plan="two_level", hot_rows=20, max_hot_keys=2),
-        Layout(plan="two_level", join="hash"),
-        Layout(two_level_min_bytes=0),
+        Layout(pairs=8),
+        Layout(pairs=1, coarse=3, partitions=5),
+        Layout(coarse=1),
+        Layout(coarse=40, pairs=500),
     ],
-    ids=["auto", "two_level", "single", "hot_keys", "too_many_hot_keys", "hash_join", "auto_large"],
+    ids=["default", "fine_and_parts", "all_split", "fine_only", "wide"],
 )
 def test_return_trips_equal_all_pairs(trips, expected, layout):
     got = as_bag(with_epoch_seconds(match_return_trips(trips, layout=layout)))
@@ -69,6 +67,9 @@ def test_gap_join_and_distance_join_counts(spark, table, trips):
     p = table.pickup_s.to_numpy()
     gap = p[None, :] - d[:, None]
     assert gap_join(a, b, "a_dropoff_ts", "b_pickup_ts", 28800).count() == int(((gap > 0) & (gap < 28800)).sum())
+    for low, high in ((0, 28800), (0, 1), (0, 2), (100, 5000), (3000, 3001)):
+        n = count_gap_pairs(a, b, "a_dropoff_ts", "b_pickup_ts", high, low).first()["n"]
+        assert n == int(((gap > low) & (gap < high)).sum())
     assert gap_join(a, b, "a_dropoff_ts", "b_pickup_ts", 28800, width_s=5000).count() == int(
         ((gap > 0) & (gap < 28800)).sum()
     )
@@ -80,6 +81,9 @@ def test_gap_join_and_distance_join_counts(spark, table, trips):
     )
     n = distance_join(a, b, ("a_dropoff_lat", "a_dropoff_lon"), ("b_pickup_lat", "b_pickup_lon"), 100.0).count()
     assert n == int((dist <= 100.0).sum())
+    points = ("a_dropoff_lat", "a_dropoff_lon"), ("b_pickup_lat", "b_pickup_lon")
+    n = distance_gap_join(a, b, *points, "a_dropoff_ts", "b_pickup_ts").count()
+    assert n == int(((dist <= 100.0) & (gap > 0) & (gap < 28800)).sum())
 
 
 def test_raw_variants(spark, sf_dir):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from homeward.plans import match_return_trips
-from homeward.plans.return_trips import Layout, SINGLE_LAYOUT
+from homeward.plans.return_trips import Layout
 
 T0 = 1451606400
 P = (-73.9, 40.7)  # (lon, lat)
@@ -65,8 +65,8 @@ def test_edge_cases(spark, name):
     df = trips(spark, rows)
     assert match_return_trips(df, neighbours="fixed").count() == fixed
     assert match_return_trips(df, neighbours="fixed", distinct=True).count() == fixed_distinct
-    assert match_return_trips(df, layout=SINGLE_LAYOUT).count() == all_pairs
-    assert match_return_trips(df, layout=Layout(plan="two_level")).count() == all_pairs
+    assert match_return_trips(df, layout=Layout(pairs=1)).count() == all_pairs
+    assert match_return_trips(df, layout=Layout(coarse=1)).count() == all_pairs
 
 
 def test_null_and_nan_rows_never_match(spark):
@@ -96,10 +96,10 @@ def test_result_does_not_depend_on_layout_or_grid(spark):
         dict(grid=metric_grid(40.0)),
         dict(grid=metric_grid(400.0)),
         dict(slot_width_s=3600),
-        dict(layout=Layout(plan="two_level")),
-        dict(layout=Layout(plan="two_level", coarse_cell_m=150.0, coarse_slot_s=30000)),
-        dict(layout=Layout(plan="two_level", hot_rows=1)),
-        dict(layout=Layout(plan="two_level", hot_rows=1, max_hot_keys=1)),
+        dict(layout=Layout(pairs=1)),
+        dict(layout=Layout(pairs=2, coarse=7)),
+        dict(layout=Layout(coarse=1)),
+        dict(layout=Layout(partitions=3)),
     ):
         assert sorted(match_return_trips(df, **kw).collect()) == base, kw
 

@@ -24,6 +24,33 @@ def _run(spark, tmp_path, src, schema, lateness, name):
     return spark.table(name)
 
 
+def test_state_is_evicted(spark, sf_dir, tmp_path):
+    trips = clean_trips(spark, sf_dir)
+    src = str(tmp_path / "trips")
+    day = F.dayofmonth("tpep_pickup_datetime")
+    for lo, hi in ((1, 3), (14, 16), (28, 31)):
+        trips.where(day.between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    kept = {}
+    for lateness in (None, "1 hour"):
+        stream = spark.readStream.schema(trips.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (
+            stream_return_trips(stream, lateness=lateness)
+            .writeStream.format("noop")
+            .option("checkpointLocation", str(tmp_path / f"state_{lateness}"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination(300)
+        kept[lateness] = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert kept["1 hour"] < kept[None] / 2
+
+
+def test_lateness_must_be_named(spark, sf_dir):
+    with pytest.raises(TypeError):
+        stream_return_trips(clean_trips(spark, sf_dir))
+
+
 @pytest.mark.parametrize("lateness", [None, "2 days"])
 def test_stream_equals_batch(spark, sf_dir, tmp_path, lateness):
     trips = clean_trips(spark, sf_dir)
