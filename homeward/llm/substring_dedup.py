@@ -39,17 +39,20 @@ SEED = 20
 def earlier_windows(keyed: DataFrame, *, span: int = SPAN, seed: int = SEED) -> DataFrame:
     """(did, th, found): windows of each text that an earlier text has."""
     segs = segment_table(keyed, WORDS, span, seed)
-    seeds = segs.groupBy("anchor").agg(F.min("did").alias("a_first"), F.max("did").alias("a_last"), F.min("seg").alias("s_low"), F.max("seg").alias("s_high")).where("a_first < a_last")
-    shared = stage_table(segs.join(seeds, "anchor"), "seeds")
+    # aggregates are written before they are joined back: in one stage with
+    # the aggregation, Spark could not split the join of a hot key
+    seeds = segs.groupBy("anchor").agg(F.min("did").alias("a_first"), F.max("did").alias("a_last"), F.min("seg").alias("s_low"), F.max("seg").alias("s_high"))
+    shared = stage_table(segs.join(stage_table(seeds.where("a_first < a_last"), "seeds"), "anchor"), "shared")
     # one class: all texts have the same words around the seed
     alike = shared.where("s_low = s_high and did > a_first").select("did", "th", "start", "n")
     several = shared.where("s_low < s_high").select("did", "th", "start", "n", "seg")
-    classes = several.groupBy("seg").agg(F.min("did").alias("s_first"))
+    classes = stage_table(several.groupBy("seg").agg(F.min("did").alias("s_first")), "classes")
     judged = several.join(classes, "seg")
     later = judged.where("did > s_first").select("did", "th", "start", "n")
     firsts = judged.where("did = s_first").select("did", "th", "start", "n")
     windows = window_table(keyed, firsts, WORDS, span, _window, ["did", "th", "start", "h1", "h2"], [])
-    met = windows.groupBy("h1", "h2").agg(F.min("did").alias("w_first"), F.max("did").alias("w_last")).where("w_first < w_last").select("h1", "h2", "w_first")
+    met = windows.groupBy("h1", "h2").agg(F.min("did").alias("w_first"), F.max("did").alias("w_last"))
+    met = stage_table(met.where("w_first < w_last").select("h1", "h2", "w_first"), "windows")
     extended = windows.join(met, ["h1", "h2"]).where("did > w_first").select("did", "th", "start", F.lit(1).cast("long").alias("n"))
     return covered_lists(alike, later, extended)
 
