@@ -42,7 +42,7 @@ RULES = (
     Rule("few_words", "n_words < 50"),
     Rule("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     Rule("many_symbols", "10 * n_symbols > n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 15 * n_words"),
 )
