@@ -266,17 +266,30 @@ def _key_arrays(df: DataFrame, spec: MatchSpec, outbound: Column) -> dict[str, C
     return out
 
 
-def _coarse_rows(df: DataFrame, spec: MatchSpec, layout: Layout, outbound: Column) -> DataFrame:
+def _coarse_rows(df: DataFrame, spec: MatchSpec, layout: Layout, outbound: Column | bool) -> DataFrame:
     """One row per coarse key and slot of each trip; the fine keys stay
-    arrays."""
+    arrays.  With the role known, a key that is one cell is no clone."""
+    edge = F.lit(layout.coarse)
+    single: tuple = ()
+    if isinstance(outbound, bool):
+        single = (2, 3, 4) if outbound else (0, 1)
+        outbound = F.lit(outbound)
 
     def coarse(x: Column) -> Column:
-        return x - F.pmod(x, F.lit(layout.coarse))
+        return x - F.pmod(x, edge)
 
-    df = df.withColumns(_key_arrays(df, spec, outbound))
-    wide = {c: F.array_distinct(F.transform(F.col(k), coarse)) for c, k in zip(_COARSE, _KEYS)}
-    df = explode_keys(df, wide)
-    return explode_keys(df.withColumnRenamed(_SLOT, "_slots"), {_SLOT: F.col("_slots")}).drop("_slots")
+    def coarse_array(fine: Column) -> Column:
+        first, last = F.get(fine, F.lit(0)), F.element_at(fine, -1)
+        # neighbours in a row give coarse cells in a row; others (wrapped at
+        # the antimeridian, polar) are mapped one by one
+        in_a_row = last - first + 1 == F.size(fine)
+        return F.when(in_a_row, F.sequence(coarse(first), coarse(last), edge.cast("long"))).otherwise(F.array_distinct(F.transform(fine, coarse)))
+
+    df = df.withColumns(_key_arrays(df, spec, outbound)).withColumnRenamed(_SLOT, "_slots")
+    one = {c: coarse(F.get(F.col(k), F.lit(0))) for i, (c, k) in enumerate(zip(_COARSE, _KEYS)) if i in single}
+    many = {c: coarse_array(F.col(k)) for i, (c, k) in enumerate(zip(_COARSE, _KEYS)) if i not in single}
+    (one if 4 in single else many)[_SLOT] = F.get("_slots", F.lit(0)) if 4 in single else F.col("_slots")
+    return explode_keys(df.withColumns(one) if one else df, many).drop("_slots")
 
 
 def _fine_rows(rows: DataFrame, layout: Layout, dense: Column) -> DataFrame:
@@ -324,22 +337,22 @@ def split_keys(base: DataFrame, spec: MatchSpec = CANONICAL_SPEC, layout: Layout
 def _side(base: DataFrame, spec: MatchSpec, layout: Layout, outbound: bool, split, n: int) -> DataFrame:
     """One side of the match behind its one exchange: trips under the names
     of their role, and their keys."""
-    rows = _coarse_rows(base, spec, layout, F.lit(outbound))
-    keys = [*_COARSE, *_FINE, _SLOT]
-    if split is None:
-        rows = _fine_rows(rows, layout, F.lit(False)).withColumn("_part", F.lit(0))
-    else:
+    rows = _coarse_rows(base, spec, layout, outbound)
+    keys = [*_COARSE, _SLOT]
+    if split is not None:
         dense, parts = split
-        rows = rows.join(dense.withColumn("_dense", F.lit(True)), [*_COARSE, _SLOT], "left")
+        rows = rows.join(dense.withColumn("_dense", F.lit(True)), keys, "left")
+        keys = [*keys, *_FINE]
         rows = _fine_rows(rows, layout, F.col("_dense").isNotNull()).join(parts, keys, "left")
         of = F.coalesce("_parts", F.lit(1))
         if outbound:
             rows = rows.withColumn("_part", F.pmod(F.xxhash64(*CANONICAL), of).cast("int"))
         else:
             rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), of - 1)))
+        keys = [*keys, "_part"]
     role, prefix = ("to", "_t") if outbound else ("back", "_b")
-    named = rows.select(*[F.col(c).alias(f"{role}_{c}") for c in CANONICAL], *[F.col(k).alias(prefix + k) for k in [*keys, "_part"]])
-    return named.repartition(n, *[prefix + k for k in [*keys, "_part"]])
+    named = rows.select(*[F.col(c).alias(f"{role}_{c}") for c in CANONICAL], *[F.col(k).alias(prefix + k) for k in keys])
+    return named.repartition(n, *[prefix + k for k in keys])
 
 
 def _match(base: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame:
@@ -347,7 +360,7 @@ def _match(base: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame:
     residual = _residual(base, spec)
     split = split_keys(base, spec, layout)
     to, back = (_side(base, spec, layout, outbound, split, n) for outbound in (True, False))
-    keys = [("_t" + k, "_b" + k) for k in [*_COARSE, *_FINE, _SLOT, "_part"]]
+    keys = [("_t" + k, "_b" + k) for k in [*_COARSE, _SLOT, *(() if split is None else (*_FINE, "_part"))]]
     # both sides are cloned, which the planner's size estimate does not see:
     # without the hint it might broadcast one
     return keyed_join(to, back.hint("merge"), keys, residual).select(*PAIR_COLUMNS)
