@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, shared_folder
+from .common import map_arrow, shared_folder, stage_table
 
 RECORDS_PER_FILE = 2000
 END = "\r\n\r\n"
@@ -60,9 +60,12 @@ def records(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
         F.octet_length(payload).cast("long").alias("n"),
     )
     same = ["sha1", "other", "n"]
-    last = rows.groupBy(*same).agg(F.max("id").alias("last"))
-    rows = rows.join(last, same)
-    revisit = (F.col("n") >= least_bytes) & ~F.col("id").eqNullSafe(F.col("last"))
+    # only payloads that occur again are joined back, from a written table:
+    # Spark broadcasts it while it is small, and can else split a hot payload
+    last = rows.groupBy(*same).agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("times"))
+    last = stage_table(last.where("times > 1"), "payloads")
+    rows = rows.join(last, same, "left")
+    revisit = F.col("times").isNotNull() & (F.col("n") >= least_bytes) & ~F.col("id").eqNullSafe(F.col("last"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
     record = F.concat(
