@@ -37,23 +37,55 @@ class Rule:
         return self.host + self.path
 
 
-# the labelled table: a host or path with a word of the first list is
-# unwanted (1), one with a word of the second is wanted (0)
-UNWANTED = ("cheap-pills", "spam-farm", "ads-track", "free-bets", "adult-x", "casino-bonus", "free-money", "click-bait", "fake-watch", "warez-crack")
+# The labelled table, from general knowledge of what block lists and link
+# directories hold; none of it is read from a pages table.  Both kinds have
+# hyphens, common suffixes and neutral paths, so that none of these decides.
+UNWANTED = (
+    # gambling
+    "casino", "poker-room", "online-roulette", "blackjack21", "jackpot-city", "lottery-results", "sportsbetting", "bookmaker", "slot-machines", "bingo-bonus",
+    # medicines and cures
+    "buy-viagra", "cialis-online", "discountpharmacy", "diet-pills", "weightloss-miracle", "steroids4u", "no-prescription-meds", "male-enhancement",
+    # sex
+    "porn", "freeporn-videos", "xxx-movies", "sexcams", "adult-dating", "escort-girls", "nude-pics", "hookup-tonight", "hot-singles", "webcam-girls",
+    # money
+    "payday-loans", "quick-cash", "easymoney", "earn-from-home", "get-rich-fast", "crypto-doubler", "forex-signals", "debt-relief-now", "free-giftcards", "claim-your-prize",
+    # advertisements and tracking
+    "adserver", "adclick", "banner-ads", "popunder", "ads-network", "tracker", "tracking-pixel", "doubleclicks", "affiliate-offers", "traffic-exchange",
+    # spam and fraud
+    "spam", "spammers", "bulk-email", "link-farm", "cheap-backlinks", "clickbait", "phishing", "verify-account", "login-secure-update", "malware-download", "fake-id", "survey-rewards",
+    # copies without right
+    "warez", "keygen", "serial-crack", "cracked-games", "torrent-download", "free-movie-stream", "replica-watches", "knockoff-handbags", "cheap-rolex", "essay-writers",
+)
 WANTED = (
-    "library", "university", "museum", "weather", "recipes", "history", "garden", "school", "theatre", "orchestra",
-    "journal", "review", "archive", "gazette", "institute", "society", "theorem", "nature", "reading", "travel",
-    "northern", "southern", "thistle", "heritage", "anthology", "station", "meridian", "harbour", "mountain", "river",
+    # learning
+    "library", "city-library", "university", "state-university", "school", "primary-school", "college", "mathematics", "physics-notes", "encyclopedia", "dictionary", "open-courses", "chemistry", "biology", "philosophy",
+    # news and writing
+    "times", "daily-news", "gazette", "journal", "magazine", "evening-post", "tribune", "herald", "bookreview", "poetry", "publisher", "press", "radio", "editorial",
+    # state and society
+    "government", "parliament", "city-council", "ministry", "court", "embassy", "police", "red-cross", "charity", "foundation", "institute", "weather-service", "statistics", "national-parks",
+    # culture
+    "museum", "art-gallery", "theatre", "orchestra", "opera-house", "cinema", "heritage", "archive", "history", "archaeology", "folk-music", "choir",
+    # daily life
+    "recipes", "home-cooking", "bakery", "garden", "plants", "hospital", "family-doctor", "dentist", "travel", "railway", "bus-timetable", "hotel", "mountain-huts", "football-club", "cycling", "chess", "knitting", "woodwork", "birdwatching", "fishing", "sailing",
+    # work and technology
+    "software", "developers", "linux-users", "database", "programming", "engineering", "electronics", "architect", "insurance", "bank", "farmers-market", "bookshop", "furniture", "carpenter", "nature", "river-trust", "astronomy", "geology", "green-energy", "climate",
 )
+SUFFIXES = ("com", "net", "org", "info", "co.uk", "de", "example.com", "example.net", "example.org")
+PREFIXES = ("", "www.", "m.", "blog.", "shop.", "en.")
+NEUTRAL_PATHS = ("", "/", "/index.html", "/page/2", "/en/1", "/fr/20.html", "/de/300/", "/2021/05/17/post.html", "/about", "/item?id=7")
+UNWANTED_PATHS = ("/buy-now/cheap", "/win/free-bonus", "/click/offer/99", "/xxx/videos/1", "/download/crack.exe")
+WANTED_PATHS = ("/articles/history-of-science", "/wiki/Main_Page", "/docs/guide/install.html", "/events/opening-hours", "/research/papers/2019.pdf")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): the words above on common hosts and paths, 480 rows."""
+    """(url, label): four URLs of each host above, three of them with a
+    neutral path; 1 is unwanted."""
     rows = []
-    for label, words in ((1, UNWANTED), (0, WANTED)):
-        for i, word in enumerate(words):
-            top = ("com", "net", "org")[i % 3]
-            rows += [(f"http://{pre}{word}.example.{top}/{tail_}", label) for pre in ("", "www.", "m.", "blog.") for tail_ in ("en/1", "fr/20.html", "de/300/")]
+    for label, hosts, paths in ((1, UNWANTED, UNWANTED_PATHS), (0, WANTED, WANTED_PATHS)):
+        for i, host in enumerate(hosts):
+            for j in range(4):
+                path = paths[i % len(paths)] if j == 3 else NEUTRAL_PATHS[(3 * i + j) % len(NEUTRAL_PATHS)]
+                rows.append((f"http://{PREFIXES[(i + j) % len(PREFIXES)]}{host}.{SUFFIXES[(i + 2 * j) % len(SUFFIXES)]}{path}", label))
     # one partition, so that the steps of training need no shuffle
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(y).alias("label")) for u, y in rows])))
 
@@ -63,7 +95,7 @@ class LinearSpec:
     bits: int = 12
     orders: tuple[int, ...] = (3, 4)
     steps: int = 24
-    rate: float = 30.0
+    rate: float = 0.5
     decay: float = 0.0005
 
 
@@ -105,8 +137,10 @@ def probability(grams: Column, weights: list[float], bias: float) -> Column:
 
 
 def train(labelled: DataFrame, spec: LinearSpec = LinearSpec(), *, url_col: str = "url", label_col: str = "label") -> tuple[list[float], float]:
-    """Logistic regression by full gradient steps; each step is one
-    aggregation by bucket (at most ``2**bits`` rows reach the driver).  Rows
+    """Logistic regression by full gradient steps, each weight's step divided
+    by the root of its summed squared gradients (Adagrad), so that a bucket
+    of nearly all rows does not swing; each step is one aggregation by
+    bucket (at most ``2**bits`` rows reach the driver).  Rows
     with a null url or label are left out; a table without rows gives zeros."""
     host, path = split_url(F.col(url_col))
     rows = labelled.where(F.col(url_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(label_col).cast("double").alias("y"), features(host, path, spec).alias("g"))
@@ -116,6 +150,7 @@ def train(labelled: DataFrame, spec: LinearSpec = LinearSpec(), *, url_col: str
     if not n:
         rows.unpersist()
         return weights, bias
+    squares = [0.0] * (len(weights) + 1)  # the last one is the bias's
     for _ in range(spec.steps):
         error = (probability(F.col("g"), weights, bias) - F.col("y")) / F.lit(float(n))
         # bucket -1 is the bias
@@ -123,10 +158,12 @@ def train(labelled: DataFrame, spec: LinearSpec = LinearSpec(), *, url_col: str
         step = rows.select(error.alias("e"), F.inline(terms)).groupBy("b").agg(F.sum(F.col("e") * F.col("v")).alias("d"))
         weights = [w * (1 - spec.decay) for w in weights]
         for b, d in step.collect():
+            squares[b] += d * d
+            by = spec.rate * d / math.sqrt(squares[b]) if d else 0.0
             if b < 0:
-                bias -= spec.rate * d / math.sqrt(4.0)
+                bias -= by
             else:
-                weights[b] -= spec.rate * d
+                weights[b] -= by
     rows.unpersist()
     return weights, bias
 
