@@ -12,7 +12,8 @@ buckets, a bounded size), broadcast to the tasks that score.
 Rows with null text or null language teach nothing.  A text that is null or
 has no letter is ``und`` with score 0.  Equal scores go to the language
 first by name.  Without any labelled row all texts are ``und``.  Texts are
-read whole: a long one in pieces whose n-gram counts add up.
+read whole: a long one in pieces whose n-gram counts add up, n-grams across
+a cut included.
 """
 
 from __future__ import annotations
@@ -83,12 +84,12 @@ def _folded(data: np.ndarray, offsets: np.ndarray):
     return letters, doc, np.bincount(doc[letters != 32], minlength=n)
 
 
-def _buckets(letters: np.ndarray, doc: np.ndarray, spec: NgramSpec):
-    """(bucket, text) of every n-gram that lies in one text and holds a
-    letter."""
+def _buckets(letters: np.ndarray, doc: np.ndarray, spec: NgramSpec, known: int = 0):
+    """(bucket, text) of every n-gram that lies in one text, holds a letter
+    and ends behind the first ``known`` places."""
     mask = np.uint32((1 << spec.bits) - 1)
     code = letters * np.uint32(0x9E3779B1)
-    out_b, out_d = [], []
+    out_b, out_d = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for k in spec.orders:
         m = len(letters) - k + 1
         if m <= 0:
@@ -100,14 +101,15 @@ def _buckets(letters: np.ndarray, doc: np.ndarray, spec: NgramSpec):
         ok = doc[:m] == doc[k - 1 :]
         if k == 1:
             ok &= letters != 32
+        ok[: max(known - k + 1, 0)] = False
         out_b.append((h & mask)[ok])
         out_d.append(doc[:m][ok])
     return np.concatenate(out_b), np.concatenate(out_d)
 
 
 def _pieces(batch: pa.RecordBatch, column: int):
-    """(first row, rows, n-gram buckets, their row, letters by row) of slices
-    of a batch.  A text over the slice size comes in pieces."""
+    """(first row, row after the last, bytes, offsets) of slices of a batch.
+    A text over twice the slice size comes in pieces."""
     data, offsets = flat_text(batch.column(column))
     for a, b in text_slices(offsets, SLICE_BYTES):
         if offsets[b] - offsets[a] <= 2 * SLICE_BYTES:
@@ -118,11 +120,34 @@ def _pieces(batch: pa.RecordBatch, column: int):
             stop = min(end, start + SLICE_BYTES)
             while stop < end and data[stop] & 0xC0 == 0x80:
                 stop += 1
-            # n-grams across the cut are lost, about 3 in a million
             yield a, b, data[start:stop], np.array([0, stop - start])
             start = stop
 
 
+def _ngrams(batch: pa.RecordBatch, column: int, spec: NgramSpec):
+    """(first row, row after the last, n-gram buckets, their row, letters by
+    row) of slices of a batch.  Each piece of a long text continues the one
+    before: it has the n-grams that end in it."""
+    pieces = list(_pieces(batch, column))
+    carry = None
+    for i, (a, b, data, offsets) in enumerate(pieces):
+        more = i + 1 < len(pieces) and pieces[i + 1][0] == a
+        if carry is None and not more:
+            letters, doc, counted = _folded(data, offsets)
+            yield a, b, *_buckets(letters, doc, spec), counted
+            continue
+        if carry is None:
+            carry = np.array([32], np.uint32)
+        folded = _folding()[np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)]
+        letters = np.concatenate([carry, folded, np.full(0 if more else 1, 32, np.uint32)])
+        keep = letters != 32
+        keep[1:] |= keep[:-1].copy()
+        keep[: len(carry)] = True
+        letters = letters[keep]
+        yield a, b, *_buckets(letters, np.zeros(len(letters), np.int64), spec, len(carry)), np.array([np.count_nonzero(folded != 32)])
+        carry = letters[max(len(letters) - max(spec.orders) + 1, 0) :] if more else None
+
+
 def learn(df: DataFrame, spec: NgramSpec = NgramSpec(), *, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Count n-grams by language over all labelled rows."""
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
@@ -134,9 +159,7 @@ def learn(df: DataFrame, spec: NgramSpec = NgramSpec(), *, text_col: str = "text
             langs = np.array(batch.column(1).to_pylist(), object)
             for name in set(langs):
                 counts.setdefault(name, np.zeros(size + 1, np.int64))[size] += int((langs == name).sum())
-            for a, b, data, offsets in _pieces(batch, 0):
-                letters, doc, _ = _folded(data, offsets)
-                bucket, of = _buckets(letters, doc, spec)
+            for a, b, bucket, of, _ in _ngrams(batch, 0, spec):
                 names = langs[a:b]
                 for name in set(names):
                     counts[name][:size] += np.bincount(bucket[(names == name)[of]], minlength=size)
@@ -173,12 +196,8 @@ def predict(df: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
         for batch in batches:
             n = batch.num_rows
             total, letters_of = np.zeros((n, max(width, 1))), np.zeros(n, np.int64)
-            for a, b, data, offsets in _pieces(batch, at):
-                letters, doc, counted = _folded(data, offsets)
+            for a, b, bucket, of, counted in _ngrams(batch, at, m.spec):
                 letters_of[a:b] += counted
-                if not width or not counted.any():
-                    continue
-                bucket, of = _buckets(letters, doc, m.spec)
                 # sparse rows: (text, bucket) entries against the dense matrix
                 for j in range(width):
                     total[a:b, j] += np.bincount(of, m.log_prob[bucket, j], minlength=b - a)

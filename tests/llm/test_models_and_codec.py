@@ -116,6 +116,35 @@ def test_pieces_of_long_texts_count_the_same(spark, monkeypatch):
     assert abs(whole - parts).sum() < 0.01 * whole.sum()
 
 
+def test_ngrams_across_cuts(spark):
+    # cuts inside words, in a run of spaces, and between letters of two bytes
+    cut = language_id.SLICE_BYTES
+    text = "é" * (cut // 2 + 3) + "xyz" * (cut // 3 - 7) + " , " * 9 + "abc" * (cut // 3) + " end"
+    spec = language_id.NgramSpec()
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert len(data) > 2 * cut
+    bucket, _ = language_id._buckets(*language_id._folded(data, np.array([0, len(data)]))[:2], spec)
+    want = np.bincount(bucket, minlength=1 << spec.bits) + spec.smoothing
+    model = language_id.learn(cases.table(spark, [(1, text, "x")]), spec)
+    assert (np.rint(np.exp(model.log_prob[:, 0]) * want.sum() - spec.smoothing) == want - spec.smoothing).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 50])
+def test_ngrams_of_any_pieces(monkeypatch, size):
+    import pyarrow as pa
+
+    texts = ["The café  und so weiter, ñandú! " * 9, "", "  ", "one", "a  b , c 中文 " * 20, None]
+    for spec in (language_id.NgramSpec(), language_id.NgramSpec(orders=(1,)), language_id.NgramSpec(orders=(2, 5))):
+        for text in texts:
+            batch = pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"])
+            counts = []
+            for most in (1 << 20, size):
+                monkeypatch.setattr(language_id, "SLICE_BYTES", most)
+                found = list(language_id._ngrams(batch, 0, spec))
+                counts.append((sum(np.bincount(x[2], minlength=1 << spec.bits) for x in found).tolist(), sum(int(x[4].sum()) for x in found)))
+            assert counts[0] == counts[1]
+
+
 PAGES = [
     (1, "http://b.example.com/x", "<p>one</p>"),
     (2, "http://a.example.com/x", "<p>one</p>"),
