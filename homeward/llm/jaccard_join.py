@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WORD_POWERS, Rolling, flat_text, map_arrow, mix, row_key, stage_table, text_slices, word_arrays
+from .common import NO_ID, U64, WORD, WORD_POWERS, Rolling, flat_text, map_arrow, mix, row_key, stage_table, text_slices, word_arrays
 from .components import connected_components
 
 SLICE_BYTES = 1 << 18
@@ -248,7 +248,9 @@ def _join_block(pdf: pd.DataFrame, spec: JoinSpec) -> pd.DataFrame:
 
 
 def similar(df: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(did, th, row_id, class_id, rep_id, n_links), a row per document."""
+    """(did, th, row_id, class_id, rep_id, n_links, class_key), a row per
+    document.  ``class_key`` is one number for each class, whatever the ids,
+    and null for texts without words."""
     keyed = row_key(df, id_col, text_col)
     found = stage_table(describe(keyed, spec), "shingles")
     some = found.where("n > 0")
@@ -269,7 +271,7 @@ def similar(df: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id
 
     joined = connected_components(linked.select(F.col("vid").alias("a"), F.col("root").alias("b"))).select(F.col("vertex").alias("vid"), "root")
     named = joined.join(classes.select("vid", "did"), "vid")
-    named = named.join(named.groupBy("root").agg(F.min("did").alias("class_did")), "root").select("vid", "class_did")
+    named = named.join(named.groupBy("root").agg(F.min("did").alias("class_did")), "root").select("vid", "class_did", "root")
     totals = linked.groupBy("vid").agg(F.sum("links").alias("links"))
     judged = classes.select("f1", "f2", "vid", "size", F.col("did").alias("rep_did")).join(totals, "vid", "left").join(named, "vid", "left")
     out = found.select("did", "th", "n", "f1", "f2").join(judged.withColumn("some", F.lit(True)), ["f1", "f2"], "left")
@@ -286,6 +288,7 @@ def similar(df: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id
         as_id(F.coalesce("class_did", "rep_did")).alias("class_id"),
         as_id(F.col("rep_did")).alias("rep_id"),
         F.when(own, F.lit(0).cast("long")).otherwise(F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+        F.when(~own, F.coalesce("root", "vid")).alias("class_key"),
     )
 
 
@@ -298,10 +301,9 @@ def one_of_each(df: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "do
     """``df`` with one document of each class, that of the least id.  Texts
     without words all stay."""
     found = similar(df, spec, id_col=id_col, text_col=text_col)
-    # a class with a null id has no other: ids that are there are smaller
-    group = F.struct(F.coalesce("class_id", F.lit(2**63 - 1)), F.when(F.col("class_id").isNull(), F.col("th")))
-    kept = found.groupBy(group.alias("group")).agg(F.min(F.struct("did", "th")).alias("one")).select("one.*")
-    key = {"__did": F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), "__th": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
-    rows = df.withColumns(key)
+    kept = found.where("class_key is not null").groupBy("class_key").agg(F.min(F.struct("did", "th")).alias("one")).select("one.*")
+    key = {"__did": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "__th": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    has_words = F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
+    rows = df.where(has_words).withColumns(key)
     left = rows.join(kept, (rows["__did"] == kept["did"]) & (rows["__th"] == kept["th"]), "left_semi")
-    return left.dropDuplicates(["__did", "__th"]).select(*df.columns)
+    return left.dropDuplicates(["__did", "__th"]).select(*df.columns).union(df.where(~has_words))

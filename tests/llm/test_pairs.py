@@ -79,6 +79,19 @@ def test_links_of_near_copies(spark, seed):
     assert found(jaccard_join.jaccard_links(cases.table(spark, rows), small)) == links(rows)
 
 
+def test_one_of_each_goes_by_the_class(spark):
+    a, b, c = (" ".join(cases.words(80 + i, 60, 5000)) for i in range(3))
+    near = a + " more"
+    rows = [
+        (1, a, "a"), (1, b, "b"), (2, near, "near a"), (3, b, "copy of b"),  # one id, two texts
+        (None, c, "c"), (None, c + " more", "near c"),
+        (4, "", "empty"), (4, "", "empty"), (None, None, "null"), (None, " \t", "blank"), (None, " \t", "blank"),
+    ]
+    left = Counter(r.lang for r in jaccard_join.one_of_each(cases.table(spark, rows)).collect())
+    assert left.pop("c", 0) + left.pop("near c", 0) == 1
+    assert left == {"a": 1, "b": 1, "empty": 2, "null": 1, "blank": 2}
+
+
 def test_no_documents(spark):
     assert jaccard_join.jaccard_links(cases.empty(spark)).count() == 0
     assert jaccard_join.one_of_each(cases.empty(spark)).count() == 0
