@@ -16,8 +16,10 @@ the tasks, which meet it with all texts.  Map-only over the documents.  A
 pair is tiled only if its seeds could reach the coverage, which loses none:
 every tile consists of seeds.
 
-Null texts and items have no word.  An item with fewer words than a seed has
-no tile and contaminates nothing; an empty benchmark leaves all texts clean.
+Null texts and items have no word; an item without words contaminates
+nothing.  An item with fewer words than a seed contaminates the texts that
+hold its whole word sequence, as one tile.  An empty benchmark leaves all
+texts clean.
 Repeated rows get equal rows; items with the same id are tested one by one.
 Texts are read whole.  Item ids may be null and are then null in the result.
 """
@@ -50,7 +52,8 @@ class TilingSpec:
 
 
 class Block:
-    """Words of some items, and where each seed occurs in them."""
+    """Words of some items, and where each seed occurs in them; of items
+    shorter than a seed, the hash of all their words."""
 
     def __init__(self, ids: list, words: list[np.ndarray], seed: int):
         self.ids, self.words = ids, words
@@ -62,6 +65,12 @@ class Block:
         self.item, self.place = item[order], place[order]
         self.seeds, self.first = np.unique(value[order], return_index=True)
         self.last = np.append(self.first[1:], len(value))
+        short: dict[int, list[tuple[int, int]]] = {}
+        for m, w in enumerate(words):
+            if 0 < len(w) < seed:
+                short.setdefault(len(w), []).append((int(Rolling(w, WORD_POWERS).windows(len(w))[0]), m))
+        # by number of words: (hashes in order, their items)
+        self.short = {n: (np.array([h for h, _ in sorted(x)], U64), np.array([m for _, m in sorted(x)], np.int64)) for n, x in short.items()}
 
 
 def folded_words(data: np.ndarray, offsets: np.ndarray):
@@ -75,7 +84,7 @@ def blocks_of(items: DataFrame, seed: int, *, id_col: str = "item_id", text_col:
     for row in items.select(id_col, text_col).toLocalIterator():
         data = np.frombuffer((row[1] or "").encode(), np.uint8)
         w, _ = folded_words(data, np.array([0, len(data)]))
-        if len(w) < seed:
+        if not len(w):
             continue
         if ids and total + len(w) > BLOCK_WORDS:
             yield Block(ids, words, seed)
@@ -142,8 +151,24 @@ def _matches(a, b, rolling_a, rolling_b, free_a, free_b, length) -> list[tuple[i
     return [(int(i[s]), int(j[s]), int(m)) for s, m in zip(start[rank], size[rank])]
 
 
+def _short_hits(words: np.ndarray, at: np.ndarray, block: Block):
+    """As ``_hits``, of the items shorter than a seed."""
+    rolling = Rolling(words, WORD_POWERS) if block.short else None
+    for n, (hashes, items) in block.short.items():
+        grams = rolling.windows(n)
+        low, high = np.searchsorted(hashes, grams, "left"), np.searchsorted(hashes, grams, "right")
+        place = np.flatnonzero(high > low)
+        text = np.searchsorted(at, place, "right") - 1
+        inside = place + n <= at[text + 1]
+        # each text once for all equal items
+        for t, first, last in sorted(set(zip(text[inside].tolist(), low[place[inside]].tolist(), high[place[inside]].tolist()))):
+            for m in items[first:last]:
+                yield t, int(m), 1.0, 1, n
+
+
 def _hits(words: np.ndarray, at: np.ndarray, block: Block, spec: TilingSpec):
     """(text, item, coverage, tiles, words) of contaminated pairs."""
+    yield from _short_hits(words, at, block)
     grams = Rolling(words, WORD_POWERS).windows(spec.seed)
     if not len(grams) or not len(block.seeds):
         return

@@ -210,6 +210,16 @@ def test_contaminated_documents(spark):
     assert decontaminate.clean(cases.empty(spark), benchmark).count() == 0
 
 
+def test_items_shorter_than_a_seed(spark):
+    rows = [(1, "So the few, Words! the few words", None), (2, "the few", None), (3, "words of the few", None), (4, "x " * 9, None), (5, "the", None), (6, "few words the", None), (7, None, None)]
+    benchmark = items(spark, [(0, "the few words"), (1, "THE FEW WORDS"), (2, "the"), (3, ""), (4, "words of the few"), (5, None), (6, "x x")])
+    got = decontaminate.contaminated(cases.table(spark, rows), benchmark).collect()
+    want = {(1, 0), (1, 1), (1, 2), (2, 2), (3, 2), (3, 4), (4, 6), (5, 2), (6, 2)}
+    assert Counter((r.doc_id, r.item_id) for r in got) == dict.fromkeys(want, 1)
+    assert all((r.coverage, r.n_tiles) == (1.0, 1) for r in got) and {r.item_id: r.n_words for r in got} == {0: 3, 1: 3, 2: 1, 4: 4, 6: 2}
+    assert [r.doc_id for r in decontaminate.clean(cases.table(spark, rows), benchmark).collect()] == [7]
+
+
 def test_blocks_of_the_benchmark(spark, monkeypatch):
     item = [" ".join(cases.words(70 + i, 30, 5000)) for i in range(9)]
     rows = [(i, f"before {t} after", None) for i, t in enumerate(item)] + [(50, " ".join(item), None)]
