@@ -1,5 +1,6 @@
 """Repeated bytes and words against brute force."""
 
+import hashlib
 import random
 
 import brute
@@ -21,6 +22,83 @@ def test_bytes(spark):
     assert sorted((tuple(r) for r in got), key=str) == sorted(((i, *w) for (i, _, _), w in zip(rows, want)), key=str)
 
 
+def rolled_bytes(texts, k):
+    """``brute.repeated_bytes`` in time linear in the texts: windows by a
+    rolling hash modulo a large prime."""
+    prime, base = (1 << 127) - 1, 0x1F3D5B79_2468ACE1
+    top = pow(base, k - 1, prime)
+    data, hashes, seen = [(t or "").encode() for t in texts], [], {}
+    for d in data:
+        h, own = 0, []
+        for i, c in enumerate(d):
+            if i >= k:
+                h -= (d[i - k] + 1) * top
+            h = (h * base + c + 1) % prime
+            if i >= k - 1:
+                own.append(h)
+                seen[h] = seen.get(h, 0) + 1
+        hashes.append(own)
+    out = []
+    for d, own in zip(data, hashes):
+        kept, end, removed, spans = bytearray(), 0, 0, 0
+        for i, c in enumerate(d):
+            if i < len(own) and seen[own[i]] > 1:
+                spans += end < i or not i
+                end = i + k
+            if i < end:
+                removed += 1
+            else:
+                kept.append(c)
+        out.append((len(d), removed, spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def check_all_bytes(spark, piece=7001):
+    r = random.Random(9)
+    a, b, c, d, passage = ("".join(r.choice("abcdefgh ") for _ in range(n)) for n in (piece - 200, 9000, 21_000, 500, 420))
+    # a passage over a cut
+    rows = [*cases.documents(), (30, a + passage + b, None), (31, c + passage + d, None)]
+    got = suffix_dedup.remove_repeats(cases.clashing(cases.table(spark, rows)), digest=True).collect()
+    want = rolled_bytes([t for _, t, _ in rows], 400)
+    assert sorted((tuple(r) for r in got), key=str) == sorted(((i, *w) for (i, _, _), w in zip(rows, want)), key=str)
+    by = {r.doc_id: r for r in got}
+    # the very long text, the long word and the periodic text lose bytes
+    assert all(by[i].n_removed for i in (12, 15, 19, 30, 31))
+
+
+def test_rolled_bytes():
+    r = random.Random(8)
+    texts = [None, "", *("".join(r.choice("abé") for _ in range(r.randrange(90))) for _ in range(20)), "ab" * 40]
+    assert rolled_bytes(texts, 7) == brute.repeated_bytes(texts, 7)
+
+
+def test_bytes_of_all_texts(spark):
+    check_all_bytes(spark)
+
+
+def test_bytes_of_all_texts_in_pieces(spark, monkeypatch):
+    from homeward.llm import anchors
+
+    whole = anchors.map_arrow
+
+    def lowered(df, function, schema):
+        def run(batches):
+            # in the worker, for this task
+            from homeward.llm import anchors
+
+            before = anchors.PIECE, anchors.SLICE_BYTES
+            anchors.PIECE, anchors.SLICE_BYTES = 7001, 5000
+            try:
+                yield from function(batches)
+            finally:
+                anchors.PIECE, anchors.SLICE_BYTES = before
+
+        return whole(df, run, schema)
+
+    monkeypatch.setattr(anchors, "map_arrow", lowered)
+    check_all_bytes(spark)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_bytes_of_a_small_alphabet(spark, seed):
     # short strings repeat inside and across texts, hot ones in most of them
