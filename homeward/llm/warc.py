@@ -7,8 +7,10 @@ makes the files: a record is one row, and the row separator is the blank
 line that ends a WARC record.  Files are gzip'ed as a whole and hold at most
 ``RECORDS_PER_FILE`` records.
 
-Reading: each archive is parsed by itself, payload digests are computed
-again, and its captures, sorted by URL key and time, are one run.  The runs
+Reading: each archive is read line by line and parsed as a stream, so that a
+task holds one record and a batch of lines (long ones in parts), however
+large an archive is.
+Payload digests are computed again, and the archive's captures, sorted by URL key and time, are one run.  The runs
 are merged to a global order: captures are range-partitioned by URL key,
 time and id (so a hot URL spreads over several ranges), and each range
 merges its parts of the runs with a loser tree.
@@ -23,16 +25,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, shared_folder, stage_table
+from .native import let
 
 RECORDS_PER_FILE = 2000
+PART_BYTES = 4096  # of a line
 END = "\r\n\r\n"
 EPOCH = 1_577_836_800  # 2020-01-01, the time of id 0 where pages have none
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -109,15 +113,6 @@ def parse_archive(data: bytes):
         at = stop + 4
 
 
-def gunzip(data: bytes) -> bytes:
-    out = []
-    while data:
-        one = zlib.decompressobj(31)
-        out.append(one.decompress(data))
-        data = one.unused_data
-    return b"".join(out)
-
-
 def url_key(url: str) -> str:
     """Host labels from the last to the first, then the path, lower-case."""
     rest = url.split("://", 1)[-1]
@@ -135,37 +130,86 @@ def _order(row) -> tuple:
     return row[0], row[1], -1 if row[2] is None else 0, row[2] or 0
 
 
-def _captures(name: str, data: bytes) -> list[tuple]:
+def _capture(name: str, h: dict, block: bytes, place: int, size: int) -> tuple:
     def page(ref):
         value = ref.removeprefix("<urn:page:").removesuffix(">")
         return int(value) if value else None
 
-    out = []
-    for h, block, place, size in parse_archive(data):
-        head, _, payload = block.partition(b"\r\n\r\n")
-        n = int(dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])[b"Content-Length"])
-        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-        refers = None
-        if h["WARC-Type"] == "revisit":
-            refers = page(h["WARC-Refers-To"])
-        elif len(payload) != n or digest != (digest := base64.b32encode(hashlib.sha1(payload).digest()).decode()):
-            raise ValueError(f"record at byte {place} of {name} is damaged")
-        out.append((url_key(h.get("WARC-Target-URI", "")), h["WARC-Date"], page(h["WARC-Record-ID"]), n, digest, h["WARC-Type"], refers, name, place, size))
-    return sorted(out, key=_order)
+    head, _, payload = block.partition(b"\r\n\r\n")
+    n = int(dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])[b"Content-Length"])
+    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+    refers = None
+    if h["WARC-Type"] == "revisit":
+        refers = page(h["WARC-Refers-To"])
+    elif len(payload) != n or digest != (digest := base64.b32encode(hashlib.sha1(payload).digest()).decode()):
+        raise ValueError(f"record at byte {place} of {name} is damaged")
+    return url_key(h.get("WARC-Target-URI", "")), h["WARC-Date"], page(h["WARC-Record-ID"]), n, digest, h["WARC-Type"], refers, name, place, size
+
+
+def _stream(batches):
+    """(archive, headers, block, place, size) of the records of archives that
+    come one after another as lines, each with its archive's name where the
+    line can begin a record.  Holds the bytes from one record's start on."""
+    held, names = bytearray(), {}
+    begin = place = need = 0  # byte of held[0] in all, and in its archive; bytes to wait for
+    name = None
+    for batch in batches:
+        lines, own = batch.column(0).cast(pa.large_binary()), batch.column(1)
+        if not len(lines):
+            continue
+        _, offsets, data = lines.buffers()
+        offs = np.frombuffer(offsets, np.int64, len(lines) + 1, lines.offset * 8)
+        first = begin + len(held) - int(offs[0])
+        for i in np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False)):
+            names[first + int(offs[i])] = own[int(i)].as_py()
+        held += memoryview(data)[offs[0] : offs[-1]]
+        at = 0
+        while len(held) - at > need:
+            end = held.find(b"\r\n\r\n", at)
+            if end < 0:
+                need = len(held) - at
+                break
+            head = bytes(held[at:end])
+            length = next((int(x[16:]) for x in head.split(b"\r\n") if x.startswith(b"Content-Length: ")), 0)
+            size = end + 4 + length + 4 - at
+            if len(held) - at < size:
+                need = size - 1
+                break
+            if begin + at not in names:
+                raise ValueError(f"no WARC record at byte {place} of {name}")
+            if names[begin + at] != name:
+                name, place = names[begin + at], 0
+            headers, block, _, _ = next(parse_archive(bytes(held[at : at + size])))
+            yield name, headers, block, place, size
+            at, place, need = at + size, place + size, 0
+        del held[:at]
+        begin += at
+        names = {k: v for k, v in names.items() if k >= begin}
+    if held:
+        raise ValueError(f"the record at byte {place} of {name}, or the one after it, is cut off")
 
 
 def capture_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The captures of every archive, a sorted run each."""
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
+    # a gzip'ed file is never split; its lines, each with its line feed, are
+    # the bytes of the archive in order.  Long lines come in parts: Arrow
+    # batches are bounded by rows only
+    lines = spark.read.text(folder, lineSep="\n")
+    value = F.col("value")
+    parts = let(
+        F.concat(value, F.lit("\n")).cast("binary"),
+        lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.octet_length(v) - 1) / PART_BYTES).cast("int")), lambda i: F.substring(v, i * PART_BYTES + 1, PART_BYTES)),
+    )
+    name = F.when(value.startswith("WARC/"), F.element_at(F.split("_metadata.file_path", "/"), -1))
+    lines = lines.select(name.alias("name"), F.posexplode(parts).alias("part", "line")).select("line", F.when(F.col("part") == 0, F.col("name")).alias("name"))
 
     def run(batches):
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                rows = _captures(path.as_py().rsplit("/", 1)[-1], gunzip(content.as_py()))
-                for i in range(0, len(rows), 10_000):
-                    yield _batch(rows[i : i + 10_000])
+        for name, found in groupby(_stream(batches), key=lambda x: x[0]):
+            rows = sorted((_capture(*x) for x in found), key=_order)
+            for i in range(0, len(rows), 10_000):
+                yield _batch(rows[i : i + 10_000])
 
-    return map_arrow(files, run, CAPTURE)
+    return map_arrow(lines, run, CAPTURE)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

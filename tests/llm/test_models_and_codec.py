@@ -185,6 +185,24 @@ def test_warc(spark, tmp_path):
     assert small.where("record_type = 'revisit'").count() == 2
 
 
+def test_archives_are_read_as_streams(spark, tmp_path, monkeypatch):
+    # line ends at the end and in the middle of payloads, over buffers and batches
+    texts = ["\r\n" * 70_000, "\n" * 30_000, "a\r\n\r\n", "\r", "WARC/1.1\r\nContent-Length: 5\r\n\r\n", "x" * 3_000_000, "", "é\n" * 20_000, "".join(random.Random(3).choices("abcdefgh", k=50_000))]
+    pages = spark.createDataFrame([(i, f"http://a.example.com/{i}", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages.coalesce(2), folder)
+    whole = warc.map_arrow
+    sent = []
+    monkeypatch.setattr(warc, "map_arrow", lambda df, *rest: sent.append(df) or whole(df, *rest))
+    rows = warc.capture_runs(spark, folder).collect()
+    # no archive, page or long line is a value of one row
+    assert max(sent[0].agg(*[F.max(F.octet_length(c)) for c in sent[0].columns]).first()) <= 4096
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in rows) == [(i, len(t.encode()), base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()) for i, t in enumerate(texts)]
+    for r in rows:
+        headers, block, _, size = next(warc.parse_archive(gzip.open(f"{folder}/{r.run}").read()[r.place : r.place + r["size"]]))
+        assert size == r["size"] and block.endswith(texts[r.page_id].encode())
+
+
 @given(st.lists(st.lists(st.integers(0, 30), max_size=12), max_size=7))
 def test_loser_tree(runs):
     merged = list(warc.LoserTree([[(x,) for x in sorted(r)] for r in runs], lambda row: row))
