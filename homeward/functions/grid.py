@@ -28,6 +28,7 @@ Two neighbour modes:
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -47,6 +48,11 @@ SCRIPT_TIME_SLOT_S = 28800  # time bucket of the adjacent-slot variant (8 h)
 POLAR_LAT_DEG = 89.0
 POLAR_LON_KEY = -(2**62)
 OUTERMOST_CELL = float(2**61)
+# Bits of a packed key: four cell numbers and a slot in one long.  Numbers
+# are taken modulo these powers of two, so places at least 8,192 cells apart
+# (or times 4,096 slots apart) may share a key; no distance or gap within a
+# match does, and the exact predicates part them.
+CELL_BITS, SLOT_BITS = 13, 12
 # Relative widening of the reach so that rounding never loses a pair.
 REACH_MARGIN = 1.0001
 
@@ -110,6 +116,19 @@ def time_slot(epoch_s: Column, width_s: int) -> Column:
     return F.floor(epoch_s / F.lit(width_s))
 
 
+def floor_div(x: Column, n: int) -> Column:
+    """``floor(x / n)`` of a long in long arithmetic."""
+    return x if n == 1 else F.call_function("div", x - F.pmod(x, F.lit(n)), F.lit(n))
+
+
+def pack_key(cells: Sequence[Column], slot: Column) -> Column:
+    """Four cell numbers and a slot as one long."""
+    key = F.lit(0).cast("long")
+    for cell in cells:
+        key = F.shiftleft(key, CELL_BITS).bitwiseOR(cell.bitwiseAND(F.lit((1 << CELL_BITS) - 1).cast("long")))
+    return F.shiftleft(key, SLOT_BITS).bitwiseOR(slot.bitwiseAND(F.lit((1 << SLOT_BITS) - 1).cast("long")))
+
+
 def _valid(lat: Column, lon: Column) -> Column:
     return (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
 
@@ -144,6 +163,38 @@ class CellKeys:
             lon_key = F.when(polar, F.lit(POLAR_LON_KEY)).otherwise(lon_key)
         return lat_key, lon_key
 
+    @property
+    def merge_factor(self) -> int:
+        """Grid cells to a cell of packed keys: 1, or as many as keep a
+        radius at 32 cells where the grid is much finer than the radius (so
+        that a reach stays far below 2**CELL_BITS cells)."""
+        return max(1, math.ceil(self.radius_m / self.grid.cell_height_m() / 32))
+
+    def span(self, lat: Column, lon: Column) -> dict[str, Column]:
+        """The cells of ``reach`` as ranges: first and last of each axis, and
+        ``edge``, the longitude keys where they are no range (antimeridian,
+        polar caps), else null."""
+        g, d = self.grid, F.lit(self._delta_deg)
+        lat_c, lon_c = g.lat_cell(lat), g.lon_cell(lon)
+        if self.mode == "fixed":
+            return {"lat0": lat_c - 1, "lat1": lat_c + 1, "lon0": lon_c - 1, "lon1": lon_c + 1, "edge": F.lit(None).cast("array<bigint>")}
+        valid, abs_lat, dlon = _valid(lat, lon), F.abs(lat), self._half_width(lat)
+        inland = (abs_lat + d < POLAR_LAT_DEG) & (lon + dlon <= 180) & (lon - dlon >= -180)
+        return {
+            "lat0": F.when(valid, g.lat_cell(lat - d)).otherwise(lat_c - 1),
+            "lat1": F.when(valid, g.lat_cell(lat + d)).otherwise(lat_c + 1),
+            "lon0": F.when(valid, g.lon_cell(lon - dlon)).otherwise(lon_c - 1),
+            "lon1": F.when(valid, g.lon_cell(lon + dlon)).otherwise(lon_c + 1),
+            "edge": F.when(valid & ~inland, self.reach(lat, lon)[1]),
+        }
+
+    def _half_width(self, lat: Column) -> Column:
+        """Largest longitude offset of a partner off the polar caps: the
+        disc's half-width at the latitude nearest the pole it can touch."""
+        d = self._delta_deg
+        widest = F.least(F.abs(lat) + F.lit(d), F.lit(POLAR_LAT_DEG + 2 * d))
+        return F.least(F.lit(d) / F.cos(F.radians(widest)), F.lit(180.0))
+
     def reach(self, lat: Column, lon: Column) -> tuple[Column, Column]:
         """Arrays of latitude and longitude keys to explode (one row per pair)."""
         g = self.grid
@@ -156,10 +207,7 @@ class CellKeys:
         d = self._delta_deg
         abs_lat = F.abs(lat)
         reach_lat = F.sequence(g.lat_cell(lat - F.lit(d)), g.lat_cell(lat + F.lit(d)))
-        # Largest longitude offset of a partner off the polar caps: the disc's
-        # half-width at the latitude nearest the pole it can touch.
-        widest = F.least(abs_lat + F.lit(d), F.lit(POLAR_LAT_DEG + 2 * d))
-        dlon = F.least(F.lit(d) / F.cos(F.radians(widest)), F.lit(180.0))
+        dlon = self._half_width(lat)
         lo, hi = lon - dlon, lon + dlon
         plain = F.sequence(g.lon_cell(lo), g.lon_cell(hi))
         empty = F.array().cast("array<bigint>")
@@ -211,10 +259,14 @@ class SlotKeys:
     def exact(self, early_s: Column) -> Column:
         return time_slot(early_s, self.width_s)
 
-    def reach(self, late_s: Column) -> Column:
+    def reach_span(self, late_s: Column) -> tuple[Column, Column]:
+        """First and last slot of every ``early`` that ``late`` can pair with."""
         if self.mode == "reach":
             first = time_slot(late_s - F.lit(self.max_gap_s - 1), self.width_s)
             last = time_slot(late_s - F.lit(self.min_gap_s + 1), self.width_s)
-            return F.sequence(first, F.greatest(first, last))
+            return first, F.greatest(first, last)
         slot = time_slot(late_s, self.width_s)
-        return F.array(slot - 1, slot)
+        return slot - 1, slot
+
+    def reach(self, late_s: Column) -> Column:
+        return F.sequence(*self.reach_span(late_s))

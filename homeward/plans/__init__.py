@@ -13,7 +13,6 @@ from .return_trips import (
     match_return_trips,
     matchable,
     return_trip_candidates,
-    split_keys,
     spread,
     trip_table,
 )
@@ -33,7 +32,6 @@ __all__ = [
     "match_return_trips",
     "matchable",
     "return_trip_candidates",
-    "split_keys",
     "spread",
     "trip_table",
 ]

@@ -24,24 +24,25 @@ de-duplication.
 One plan at every size, in two resolutions:
 
 * Each trip is cloned to *coarse* keys (``Layout.coarse`` fine cells wide,
-  about 6 rows per trip for both sides instead of about 20), one exchange
-  per side.
-* Keys are counted before the match (partial aggregation, one row per key
-  and task).  Where the candidates of a coarse key, outbound rows times
-  return rows, pass ``Layout.pairs``, its rows carry their fine clones
-  instead; where those of a fine key still do, the outbound rows are dealt
-  to parts of it by a hash and the return rows go to every part.  So no task
-  is given many more candidates than that, however dense a place is.
+  about 6 rows per trip for both sides instead of about 20), packed into one
+  long, and each side has one exchange on it.
+* Keys of more than ``Layout.pairs`` candidates are found before the match
+  (``operators.balanced``).  Their rows are cloned again, to the fine keys
+  inside the coarse one; where a fine key still passes the limit, both of
+  its sides are cut into a grid and equal trips travel as one row with a
+  count.  So no task is given many more candidates than that, however dense
+  a place is.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import is_remote
 
 from ..functions.geo import EARTH_RADIUS_M, epoch_seconds, haversine_m
 from ..functions.grid import (
@@ -53,12 +54,17 @@ from ..functions.grid import (
     CellKeys,
     GridSpec,
     SlotKeys,
+    floor_div,
     metric_grid,
+    pack_key,
+    time_slot,
+    CELL_BITS,
+    SLOT_BITS,
 )
 from ..operators.clean import clean as clean_input
 from ..operators.clean import nonzero_coordinates
 from ..operators.expand import explode_keys
-from ..operators.joins import keyed_join
+from ..operators.balanced import PAIRS, balanced_join, dealt_join, heavy_keys, keyed_join, only_heavy
 from ..operators.summary import count_rows
 from ..sources.schema import CANONICAL, YELLOW_CAB, TripColumns
 
@@ -138,13 +144,12 @@ def spread(df: DataFrame) -> DataFrame:
 
     Real splits are counted, which runs no job as long as the plan has no
     exchange; behind an exchange the rows are dealt already."""
-    try:
-        query = df._jdf.queryExecution()
-        if "Exchange" in query.executedPlan().toString():
-            return df
-        splits = query.toRdd().getNumPartitions()
-    except Exception:  # pragma: no cover - no access to the plan (Spark Connect)
+    if is_remote():  # no access to the plan
         return df
+    query = df._jdf.queryExecution()
+    if re.search(r"(?m)^[ :+*()0-9-]*Exchange ", query.executedPlan().toString()):
+        return df
+    splits = query.toRdd().getNumPartitions()
     target = parallelism(df.sparkSession)
     return df.repartition(target) if 0 < splits < target else df
 
@@ -152,10 +157,9 @@ def spread(df: DataFrame) -> DataFrame:
 def parallelism(spark) -> int:
     """Cores of the cluster (the shuffle partition setting where the
     session exposes no SparkContext, as with Spark Connect)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover
+    if is_remote():
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.sparkContext.defaultParallelism)
 
 
 def _epoch(df: DataFrame, name: str) -> Column:
@@ -208,12 +212,12 @@ class Layout:
     """How the work of a match is cut (never changes the result).
 
     ``coarse``: edge of a coarse cell in fine cells.  ``pairs``: candidates
-    of a key beyond which it is split.  ``partitions``: of each exchange; by
+    of a key beyond which it is refined or split.  ``partitions``: of each exchange; by
     default from the input's size (``join_partitions``).
     """
 
     coarse: int = 4
-    pairs: int = 4_000_000
+    pairs: int = PAIRS
     partitions: int | None = None
 
 
@@ -226,10 +230,9 @@ _ROW_BYTES, _CLONES, _PARTITION_BYTES = 150, 6, 128 << 20
 def _estimated_bytes(df: DataFrame) -> int | None:
     """The planner's estimate; None where it has none (Spark then gives a
     number near the largest long, e.g. for rows made in the driver)."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - no JVM plan access (e.g. Spark Connect)
+    if is_remote():
         return None
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size if size < 1 << 56 else None
 
 
@@ -243,127 +246,111 @@ def join_partitions(spark, estimate: int | None, row_bytes: int = 56) -> int:
     return max(least, math.ceil(estimate / row_bytes * _CLONES * _ROW_BYTES / _PARTITION_BYTES))
 
 
-_KEYS = ("_k1", "_k2", "_k3", "_k4")  # cells of a.pickup ~ b.dropoff, a.dropoff ~ b.pickup
-_SLOT = "_k5"
-_COARSE = tuple(f"_c{i}" for i in range(1, 5))
+def _numbered(first: Column, last: Column, bits: int) -> Column:
+    """How many of the numbers from first to last differ modulo 2**bits."""
+    return F.least(last - first + 1, F.lit(1 << bits).cast("long"))
 
 
-def _key_arrays(df: DataFrame, spec: MatchSpec, outbound: Column) -> dict[str, Column]:
-    """Fine keys of each row as arrays, for the role that ``outbound`` says."""
-    cells, slots = spec.cells, spec.slots
-    pickup = F.col("pickup_lat"), F.col("pickup_lon")
-    dropoff = F.col("dropoff_lat"), F.col("dropoff_lon")
-    near_pickup, at_dropoff = cells.reach(*pickup), [F.array(c) for c in cells.exact(*dropoff)]
-    out = {}
-    for i in (0, 1):
-        out[_KEYS[i]] = F.when(outbound, near_pickup[i]).otherwise(at_dropoff[i])
-        out[_KEYS[i + 2]] = F.when(outbound, at_dropoff[i]).otherwise(near_pickup[i])
+def _trip_cells(base: DataFrame, spec: MatchSpec, outbound: bool) -> DataFrame:
+    """Fine cells of each trip: the range that partners of its pickup can
+    lie in, the cell of its dropoff, and its slots.  Either role clones the
+    pickup and keeps the dropoff."""
+    cells, slots, f = spec.cells, spec.slots, spec.cells.merge_factor
+    span = cells.span(F.col("pickup_lat"), F.col("pickup_lon"))
+    lat, lon = cells.exact(F.col("dropoff_lat"), F.col("dropoff_lon"))
+    out = {f"_{k}": floor_div(v, f) for k, v in span.items() if k != "edge"}
+    out |= {"_edge": F.transform(span["edge"], lambda x: floor_div(x, f)), "_lat": floor_div(lat, f), "_lon": floor_div(lon, f)}
     if slots is None:
-        out[_SLOT] = F.array(F.lit(0).cast("long"))
+        out["_slot0"], out["_slots"] = F.lit(0).cast("long"), F.lit(1).cast("long")
+    elif outbound:
+        out["_slot0"], out["_slots"] = slots.exact(_epoch(base, "dropoff_ts")), F.lit(1).cast("long")
     else:
-        own = F.array(slots.exact(_epoch(df, "dropoff_ts")))
-        out[_SLOT] = F.when(outbound, own).otherwise(slots.reach(_epoch(df, "pickup_ts")))
-    return out
-
-
-def _coarse_rows(df: DataFrame, spec: MatchSpec, layout: Layout, outbound: Column | bool) -> DataFrame:
-    """One row per coarse key and slot of each trip; the fine keys stay
-    arrays.  With the role known, a key that is one cell is no clone."""
-    edge = F.lit(layout.coarse)
-    single: tuple = ()
-    if isinstance(outbound, bool):
-        single = (2, 3, 4) if outbound else (0, 1)
-        outbound = F.lit(outbound)
-
-    def coarse(x: Column) -> Column:
-        return x - F.pmod(x, edge)
-
-    def coarse_array(fine: Column) -> Column:
-        first, last = F.get(fine, F.lit(0)), F.element_at(fine, -1)
-        # neighbours in a row give coarse cells in a row; others (wrapped at
-        # the antimeridian, polar) are mapped one by one
-        in_a_row = last - first + 1 == F.size(fine)
-        return F.when(in_a_row, F.sequence(coarse(first), coarse(last), edge.cast("long"))).otherwise(F.array_distinct(F.transform(fine, coarse)))
-
-    df = df.withColumns(_key_arrays(df, spec, outbound)).withColumnRenamed(_SLOT, "_slots")
-    one = {c: coarse(F.get(F.col(k), F.lit(0))) for i, (c, k) in enumerate(zip(_COARSE, _KEYS)) if i in single}
-    many = {c: coarse_array(F.col(k)) for i, (c, k) in enumerate(zip(_COARSE, _KEYS)) if i not in single}
-    (one if 4 in single else many)[_SLOT] = F.get("_slots", F.lit(0)) if 4 in single else F.col("_slots")
-    return explode_keys(df.withColumns(one) if one else df, many).drop("_slots")
-
-
-def _fine_rows(rows: DataFrame, layout: Layout, dense: Column) -> DataFrame:
-    """Rows of dense coarse keys, one per fine key in it; other rows carry
-    one neutral fine key."""
-    neutral = F.array(F.lit(0).cast("long"))
-
-    def inside(fine: str, coarse: str) -> Column:
-        at = F.col(coarse)
-        return F.filter(F.col(fine), lambda x: x - F.pmod(x, F.lit(layout.coarse)) == at)
-
-    arrays = {f"_f{i}": F.when(dense, inside(k, c)).otherwise(neutral) for i, (k, c) in enumerate(zip(_KEYS, _COARSE), 1)}
-    return explode_keys(rows, arrays).drop(*_KEYS)
-
-
-_FINE = tuple(f"_f{i}" for i in range(1, 5))
-
-
-def _many(rows: DataFrame, keys: Sequence[str], layout: Layout) -> DataFrame:
-    """Keys with more candidates than ``layout.pairs``, and in how many
-    parts they go: counted with partial aggregation."""
-    counts = rows.groupBy(*keys).agg(F.count_if("_out").alias("_na"), F.count_if(~F.col("_out")).alias("_nb"))
-    pairs = F.col("_na").cast("double") * F.col("_nb")
-    parts = F.least(F.col("_na"), F.ceil(pairs / F.lit(float(layout.pairs)))).cast("int")
-    return counts.where(pairs > layout.pairs).select(*keys, parts.alias("_parts"))
-
-
-def split_keys(base: DataFrame, spec: MatchSpec = CANONICAL_SPEC, layout: Layout = DEFAULT_LAYOUT) -> tuple[DataFrame, DataFrame] | None:
-    """Dense coarse keys, and the fine keys in them that go in parts; None
-    when no key is dense.  Both are counted now and kept, so that the match
-    is planned with their real sizes: Spark broadcasts them only below its
-    threshold and otherwise shuffles."""
-    roles = base.withColumn("_out", F.explode(F.array(F.lit(True), F.lit(False))))
-    rows = _coarse_rows(roles, spec, layout, F.col("_out"))
-    dense = _many(rows, [*_COARSE, _SLOT], layout).drop("_parts").persist()
-    if dense.count() == 0:
-        dense.unpersist()
-        return None
-    fine = _fine_rows(rows.join(dense, [*_COARSE, _SLOT], "left_semi"), layout, F.lit(True))
-    parts = _many(fine, [*_COARSE, *_FINE, _SLOT], layout).where("_parts > 1").persist()
-    parts.count()
-    return dense, parts
-
-
-def _side(base: DataFrame, spec: MatchSpec, layout: Layout, outbound: bool, split, n: int) -> DataFrame:
-    """One side of the match behind its one exchange: trips under the names
-    of their role, and their keys."""
-    rows = _coarse_rows(base, spec, layout, outbound)
-    keys = [*_COARSE, _SLOT]
-    if split is not None:
-        dense, parts = split
-        rows = rows.join(dense.withColumn("_dense", F.lit(True)), keys, "left")
-        keys = [*keys, *_FINE]
-        rows = _fine_rows(rows, layout, F.col("_dense").isNotNull()).join(parts, keys, "left")
-        of = F.coalesce("_parts", F.lit(1))
-        if outbound:
-            rows = rows.withColumn("_part", F.pmod(F.xxhash64(*CANONICAL), of).cast("int"))
-        else:
-            rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), of - 1)))
-        keys = [*keys, "_part"]
-    role, prefix = ("to", "_t") if outbound else ("back", "_b")
-    named = rows.select(*[F.col(c).alias(f"{role}_{c}") for c in CANONICAL], *[F.col(k).alias(prefix + k) for k in keys])
-    return named.repartition(n, *[prefix + k for k in keys])
+        first, last = slots.reach_span(_epoch(base, "pickup_ts"))
+        out["_slot0"], out["_slots"] = first, _numbered(first, last, SLOT_BITS)
+    return base.withColumns(out)
+
+
+def _masked(edge: Column, n: int) -> Column:
+    """Longitude keys that are no range, ``n`` fine cells wide, as they are
+    in a packed key."""
+    mask = F.lit((1 << CELL_BITS) - 1).cast("long")
+    return F.array_distinct(F.transform(edge, lambda x: floor_div(x, n).bitwiseAND(mask)))
+
+
+def _clones(df: DataFrame, lat0: Column, lats: Column, lon0: Column, edge: Column, lons: Column, slots: Column) -> DataFrame:
+    """One row for each latitude, longitude and slot number, with one
+    generator: ``_y``, ``_x`` and ``_s``."""
+    df = df.withColumns({"_lat_first": lat0, "_lats": lats, "_lon_first": lon0, "_run": edge, "_each": slots})
+    df = df.withColumn("_lons", F.when(F.col("_run").isNull(), lons).otherwise(F.size("_run").cast("long")))
+    count = F.col("_lats") * F.col("_lons") * F.col("_each")
+    # outer, as explode_keys says: no filter on the array below an exchange
+    df = df.withColumn("_i", F.explode_outer(F.sequence(F.lit(0).cast("long"), count - 1))).where("_i is not null and _lons > 0")
+    i = F.col("_i")
+    row = F.call_function("div", i, F.col("_each"))
+    x = F.pmod(row, F.col("_lons"))
+    return df.withColumns(
+        {
+            "_y": F.col("_lat_first") + F.call_function("div", row, F.col("_lons")),
+            "_x": F.when(F.col("_run").isNull(), F.col("_lon_first") + x).otherwise(F.get("_run", x.cast("int"))),
+            "_s": F.pmod(i, F.col("_each")),
+        }
+    )
+
+
+def _key(outbound: bool, y: Column, x: Column, n: int) -> Column:
+    """Packed key of a clone: cells of a.pickup ~ b.dropoff, then of
+    a.dropoff ~ b.pickup, ``n`` fine cells wide."""
+    exact = [floor_div(F.col("_lat"), n), floor_div(F.col("_lon"), n)]
+    return pack_key([y, x, *exact] if outbound else [*exact, y, x], F.col("_slot"))
+
+
+_CELLS = ("_lat0", "_lat1", "_lon0", "_lon1", "_edge", "_lat", "_lon", "_slot", "_y", "_x")
+
+
+def _coarse_rows(base: DataFrame, spec: MatchSpec, layout: Layout, outbound: bool) -> DataFrame:
+    """Trips under the names of their role, one row per coarse key ``_t_k``
+    or ``_b_k``, with the cells that ``_fine_rows`` needs."""
+    n, df = layout.coarse, _trip_cells(base, spec, outbound)
+    lat0, lon0 = floor_div(F.col("_lat0"), n), floor_div(F.col("_lon0"), n)
+    lats = _numbered(lat0, floor_div(F.col("_lat1"), n), CELL_BITS)
+    lons = _numbered(lon0, floor_div(F.col("_lon1"), n), CELL_BITS)
+    edge = F.when(F.col("_edge").isNotNull(), _masked(F.col("_edge"), n))
+    df = _clones(df, lat0, lats, lon0, edge, lons, F.col("_slots")).withColumn("_slot", F.col("_slot0") + F.col("_s"))
+    role, k = ("to", "_t_k") if outbound else ("back", "_b_k")
+    named = [F.col(c).alias(f"{role}_{c}") for c in CANONICAL]
+    return df.select(*named, *_CELLS, _key(outbound, F.col("_y"), F.col("_x"), n).alias(k))
+
+
+def _fine_rows(rows: DataFrame, layout: Layout, outbound: bool) -> DataFrame:
+    """Coarse rows cloned again to the fine keys inside their coarse one
+    (``_t_f``, ``_b_f``)."""
+    n, y, x = F.lit(layout.coarse), F.col("_y"), F.col("_x")
+    lat0, lon0 = F.greatest(F.col("_lat0"), y * n), F.greatest(F.col("_lon0"), x * n)
+    lats = F.least(F.col("_lat1"), y * n + n - 1) - lat0 + 1
+    lons = F.least(F.col("_lon1"), x * n + n - 1) - lon0 + 1
+    mask = F.lit((1 << CELL_BITS) - 1).cast("long")
+    inside = F.filter(F.col("_edge"), lambda e: floor_div(e, layout.coarse).bitwiseAND(mask) == x)
+    edge = F.when(F.col("_edge").isNotNull(), _masked(inside, 1))
+    kept = [c for c in rows.columns if c not in _CELLS]
+    one = F.lit(1).cast("long")
+    df = _clones(rows, lat0, lats, lon0, edge, lons, one)
+    return df.select(*kept, _key(outbound, F.col("_y"), F.col("_x"), 1).alias("_t_f" if outbound else "_b_f"))
 
 
 def _match(base: DataFrame, spec: MatchSpec, layout: Layout) -> DataFrame:
     n = layout.partitions or join_partitions(base.sparkSession, _estimated_bytes(base))
     residual = _residual(base, spec)
-    split = split_keys(base, spec, layout)
-    to, back = (_side(base, spec, layout, outbound, split, n) for outbound in (True, False))
-    keys = [("_t" + k, "_b" + k) for k in [*_COARSE, _SLOT, *(() if split is None else (*_FINE, "_part"))]]
-    # both sides are cloned, which the planner's size estimate does not see:
-    # without the hint it might broadcast one
-    return keyed_join(to, back.hint("merge"), keys, residual).select(*PAIR_COLUMNS)
+    sides = [_coarse_rows(base, spec, layout, outbound) for outbound in (True, False)]
+    heavy = heavy_keys(*sides, [("_t_k", "_b_k")], layout.pairs, n)
+    light = sides if heavy is None else [only_heavy(s, [k], heavy, "left_anti") for s, k in zip(sides, ("_t_k", "_b_k"))]
+    pairs = dealt_join(*[s.drop(*_CELLS) for s in light], [("_t_k", "_b_k")], residual, n).select(*PAIR_COLUMNS)
+    if heavy is None:
+        return pairs
+    dense = [only_heavy(s, [k], heavy) for s, k in zip(sides, ("_t_k", "_b_k"))]
+    fine = [_fine_rows(s, layout, outbound) for s, outbound in zip(dense, (True, False))]
+    # a fine key belongs to the coarse key it was made in
+    split = balanced_join(*fine, [("_t_k", "_b_k"), ("_t_f", "_b_f")], residual, layout.pairs, n)
+    return pairs.unionAll(split.select(*PAIR_COLUMNS))
 
 
 def _residual(base: DataFrame, spec: MatchSpec) -> Column:
@@ -375,6 +362,8 @@ def _residual(base: DataFrame, spec: MatchSpec) -> Column:
     cond = to_drop < back_pick
     if spec.slot_mode != "adjacent":
         cond = cond & (to_drop + F.lit(spec.max_gap_s) > back_pick)
+    else:  # keys hold slots modulo a power of two
+        cond = cond & (time_slot(back_pick, spec.slot_width_s) - time_slot(to_drop, spec.slot_width_s) <= 1)
     # A great-circle distance of at most r needs a latitude difference of at
     # most r / R radians: two subtractions discard most candidates before
     # the trigonometry (widened as the neighbour keys are; the distance
@@ -406,12 +395,13 @@ def _prepare(trips: DataFrame, cols: TripColumns, clean: bool, distinct: bool) -
 
 
 def return_trip_candidates(
-    trips: DataFrame, spec: MatchSpec = CANONICAL_SPEC, cols: TripColumns = YELLOW_CAB
+    trips: DataFrame, spec: MatchSpec = CANONICAL_SPEC, cols: TripColumns = YELLOW_CAB, pairs: int = PAIRS
 ) -> DataFrame:
     """Pairs sharing fine bucket keys, before the exact predicates (the
-    candidate stage of the classic single-level join)."""
+    candidate stage of the classic single-level join).  Keys of over
+    ``pairs`` candidates are split (counted when called)."""
     to, back, keys = _sides(spread(matchable(trip_table(trips, cols))), spec)
-    return keyed_join(to, back.hint("merge"), keys)
+    return balanced_join(to, back, keys, pairs=pairs)
 
 
 def count_candidates(

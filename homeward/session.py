@@ -9,8 +9,10 @@ tests, benchmarks and the job script.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
@@ -45,6 +47,22 @@ def is_local(spark: SparkSession) -> bool:
     return master.startswith("local") and not master.startswith("local-cluster")
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, for small tables that plans are made from: a
+    written table in the shared checkpoint folder, so that its real size is
+    known and no executor's loss costs it.  A local folder is made only where
+    none is configured and the master is local; without any, it is cached."""
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if not base and is_local(spark):
+        base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="homeward-"))
+    if not base:
+        return df.persist()
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_session(
     cores: int | str = "*", shuffle_partitions: int | None = None, app: str = "homeward", memory: str | None = None
 ) -> SparkSession:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grid import TIME_SLOT_S, GridSpec
-from ..operators.joins import keyed_join
+from ..operators.balanced import keyed_join
 from ..plans.return_trips import (
     PAIR_COLUMNS,
     MatchSpec,

@@ -67,7 +67,7 @@ def test_gap_join_and_distance_join_counts(spark, table, trips):
     p = table.pickup_s.to_numpy()
     gap = p[None, :] - d[:, None]
     assert gap_join(a, b, "a_dropoff_ts", "b_pickup_ts", 28800).count() == int(((gap > 0) & (gap < 28800)).sum())
-    for low, high in ((0, 28800), (0, 1), (0, 2), (100, 5000), (3000, 3001)):
+    for low, high in ((0, 28800), (0, 1), (0, 2), (100, 5000), (3000, 3001), (5000, 100), (-4000, 200), (10, 10**9), (-1, 1)):
         n = count_gap_pairs(a, b, "a_dropoff_ts", "b_pickup_ts", high, low).first()["n"]
         assert n == int(((gap > low) & (gap < high)).sum())
     assert gap_join(a, b, "a_dropoff_ts", "b_pickup_ts", 28800, width_s=5000).count() == int(

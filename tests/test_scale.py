@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from helpers import as_bag
 from homeward.catalog import QUERIES, with_epoch_seconds
-from homeward.operators import first_rows
-from homeward.plans import Layout, join_partitions, match_adjacent_slots, match_return_trips, matchable, split_keys, trip_table
+from homeward.operators import balanced_join, first_rows, gap_join, heavy_keys
+from homeward.plans import Layout, join_partitions, match_adjacent_slots, match_return_trips, matchable, return_trip_candidates, trip_table
 from homeward.functions.grid import UNIFORM_176
 from homeward.sources import clean_trips, corrupt_trips, raw_trips
 
@@ -34,26 +34,74 @@ def _dense(spark, n):
 
 def test_dense_pair_of_cells_is_split(spark):
     trips = _dense(spark, 6000)
-    # parts go to partitions by hash: as many as a cluster has, so that few
-    # of the 36 parts meet
-    pairs = match_return_trips(trips, layout=Layout(pairs=1_000_000, partitions=64))
-    sizes = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    sizes = _partition_sizes(match_return_trips(trips))
     assert sum(sizes) == 6000 * 6000
     assert max(sizes) <= sum(sizes) / 4
 
 
+def _partition_sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_equal_trips_come_from_many_partitions(spark):
+    """5,000 times the same outbound and 5,000 times the same return trip."""
+    trips = _dense(spark, 1)
+    trips = trips.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(5000)))).drop("_n").repartition(4)
+    pairs = match_return_trips(trips)
+    sizes = _partition_sizes(pairs)
+    assert sum(sizes) == 5000 * 5000 and max(sizes) <= sum(sizes) / 4
+    assert pairs.distinct().count() == 1
+
+
+def _sides(spark, na, nb, equal=False):
+    """Sides of two keys, one of them hot."""
+    a = spark.range(na).select(F.lit(7).alias("k"), (F.lit(0) if equal else F.col("id")).alias("x"))
+    b = spark.range(nb).select(F.lit(7).alias("r"), (F.lit(0) if equal else F.col("id")).alias("y"))
+    more = spark.createDataFrame([(1, 5), (1, 5), (None, 3)], "k int, x long")
+    return a.unionAll(more), b.unionAll(more.toDF("r", "y"))
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_balanced_join_equals_join(spark, equal):
+    a, b = _sides(spark, 300, 170, equal)
+    near = F.abs(F.col("x") - F.col("y")) <= 3
+    want = as_bag(a.join(b, (F.col("k") == F.col("r")) & near))
+    for pairs in (1, 100, 10**6):
+        assert as_bag(balanced_join(a, b, [("k", "r")], near, pairs)) == want
+
+
+def test_balanced_join_of_empty_sides(spark):
+    a, b = _sides(spark, 5, 5)
+    assert balanced_join(a.limit(0), b, [("k", "r")], pairs=1).count() == 0
+    assert balanced_join(a, b.limit(0), [("k", "r")], pairs=1).count() == 0
+
+
+def test_grid_copies_rows_by_the_square_root(spark):
+    for na, nb in ((6000, 6000), (20000, 300), (3, 50000)):
+        heavy = heavy_keys(*_sides(spark, na, nb), [("k", "r")], pairs=40_000).first()
+        assert (heavy["_na"], heavy["_nb"]) == (na, nb)
+        fields = na * nb / (40_000 / 16)
+        assert heavy["_rows"] * heavy["_cols"] >= min(fields, na * nb) * 0.99
+        assert na * heavy["_cols"] + nb * heavy["_rows"] < 3 * fields**0.5 * (na + nb)
+
+
+def test_hot_slot_of_a_gap_join_is_split(spark):
+    a = spark.range(3000).select((F.col("id") % 50 + T0).alias("s"))
+    b = spark.range(3000).select((F.col("id") % 50 + T0 + 100).alias("t"))
+    sizes = _partition_sizes(gap_join(a, b, "s", "t", 1000))
+    assert sum(sizes) == 9_000_000 and max(sizes) <= sum(sizes) / 4
+
+
+def test_hot_cell_of_the_candidate_stage_is_split(spark):
+    sizes = _partition_sizes(return_trip_candidates(_dense(spark, 2500)))
+    assert max(sizes) <= sum(sizes) / 4
+
+
 def test_few_scans(spark, sf_dir):
     plan = match_return_trips(clean_trips(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 2 and "Broadcast" not in plan
 
 
-def test_split_keys_only_where_dense(spark, sf_dir):
-    base = matchable(trip_table(clean_trips(spark, sf_dir)))
-    assert split_keys(base) is None
-    dense, parts = split_keys(base, layout=Layout(pairs=2))
-    assert dense.count() > 0 and parts.where("_parts < 2").count() == 0
-
-
 def test_rows_that_cannot_match_reach_no_exchange(spark, tmp_path):
     trips = _dense(spark, 50)
     bad = [F.lit(None).cast("double"), F.lit(float("nan")), F.lit(float("inf")), F.lit(float("-inf"))]
