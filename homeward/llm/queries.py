@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, jaccard_join, language_id, personal_data, quality_rules, substring_dedup, suffix_dedup, url_filter, warc
+from . import byte_bpe, decontaminate, hard_negatives, html_text, jaccard_join, language_id, personal_data, quality_rules, substring_dedup
+from . import suffix_dedup, url_filter, vector_codes, warc
 from .common import table
 
 
@@ -71,6 +72,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -82,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_html_text": op13_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
