@@ -170,32 +170,32 @@ class CellKeys:
         that a reach stays far below 2**CELL_BITS cells)."""
         return max(1, math.ceil(self.radius_m / self.grid.cell_height_m() / 32))
 
-    def span(self, lat: Column, lon: Column) -> dict[str, Column]:
+    def span(self, lat: Column, lon: Column, half: Column) -> dict[str, Column]:
         """The cells of ``reach`` as ranges: first and last of each axis, and
         ``edge``, the longitude keys where they are no range (antimeridian,
-        polar caps), else null."""
+        polar caps), else null.  ``half``: a column of ``half_width``."""
         g, d = self.grid, F.lit(self._delta_deg)
         lat_c, lon_c = g.lat_cell(lat), g.lon_cell(lon)
         if self.mode == "fixed":
             return {"lat0": lat_c - 1, "lat1": lat_c + 1, "lon0": lon_c - 1, "lon1": lon_c + 1, "edge": F.lit(None).cast("array<bigint>")}
-        valid, abs_lat, dlon = _valid(lat, lon), F.abs(lat), self._half_width(lat)
-        inland = (abs_lat + d < POLAR_LAT_DEG) & (lon + dlon <= 180) & (lon - dlon >= -180)
+        valid, dlon = _valid(lat, lon), half
+        inland = (F.abs(lat) + d < POLAR_LAT_DEG) & (lon + dlon <= 180) & (lon - dlon >= -180)
         return {
             "lat0": F.when(valid, g.lat_cell(lat - d)).otherwise(lat_c - 1),
             "lat1": F.when(valid, g.lat_cell(lat + d)).otherwise(lat_c + 1),
             "lon0": F.when(valid, g.lon_cell(lon - dlon)).otherwise(lon_c - 1),
             "lon1": F.when(valid, g.lon_cell(lon + dlon)).otherwise(lon_c + 1),
-            "edge": F.when(valid & ~inland, self.reach(lat, lon)[1]),
+            "edge": F.when(valid & ~inland, self.reach(lat, lon, half)[1]),
         }
 
-    def _half_width(self, lat: Column) -> Column:
+    def half_width(self, lat: Column) -> Column:
         """Largest longitude offset of a partner off the polar caps: the
         disc's half-width at the latitude nearest the pole it can touch."""
         d = self._delta_deg
         widest = F.least(F.abs(lat) + F.lit(d), F.lit(POLAR_LAT_DEG + 2 * d))
         return F.least(F.lit(d) / F.cos(F.radians(widest)), F.lit(180.0))
 
-    def reach(self, lat: Column, lon: Column) -> tuple[Column, Column]:
+    def reach(self, lat: Column, lon: Column, half: Column | None = None) -> tuple[Column, Column]:
         """Arrays of latitude and longitude keys to explode (one row per pair)."""
         g = self.grid
         lat_c, lon_c = g.lat_cell(lat), g.lon_cell(lon)
@@ -207,7 +207,7 @@ class CellKeys:
         d = self._delta_deg
         abs_lat = F.abs(lat)
         reach_lat = F.sequence(g.lat_cell(lat - F.lit(d)), g.lat_cell(lat + F.lit(d)))
-        dlon = self._half_width(lat)
+        dlon = self.half_width(lat) if half is None else half
         lo, hi = lon - dlon, lon + dlon
         plain = F.sequence(g.lon_cell(lo), g.lon_cell(hi))
         empty = F.array().cast("array<bigint>")

@@ -126,15 +126,22 @@ def trip_table(trips: DataFrame, cols: TripColumns = YELLOW_CAB) -> DataFrame:
 def matchable(base: DataFrame) -> DataFrame:
     """Rows that can be in a pair: no null, and finite coordinates (no
     distance to NaN or infinity is within a radius).  Finite values out of
-    range stay: equal ones match by definition.  Plain comparisons on input
-    columns, so such rows never reach an exchange."""
-    cond = None
+    range stay: equal ones match by definition.  On input columns, so such
+    rows never reach an exchange.
+
+    ``x * 0`` is 0 for finite x alone, so one sum tests all coordinates and
+    names each once: where columns are derived, the condition holds their
+    expressions, and generated code that names them several times passes the
+    size up to which the JVM compiles a method (8,000 bytes), which made
+    such a scan ten times slower."""
+    zero, times = F.lit(0.0), None
     for name in CANONICAL:
-        term = F.col(name).isNotNull()
-        if not name.endswith("_ts"):
-            term = term & (F.abs(F.col(name)) < F.lit(float("inf")))
-        cond = term if cond is None else cond & term
-    return base.where(cond)
+        if name.endswith("_ts"):
+            term = F.col(name).isNotNull()
+            times = term if times is None else times & term
+        else:
+            zero = zero + F.col(name) * F.lit(0.0)
+    return base.where((zero == 0.0) & times)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -151,7 +158,12 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     splits = query.toRdd().getNumPartitions()
     target = parallelism(df.sparkSession)
-    return df.repartition(target) if 0 < splits < target else df
+    if not 0 < splits < target:
+        return df
+    # dealt by row number, which a scan gives again when a task is lost; a
+    # plain repartition would sort each split first
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.repartition(target, "_row").drop("_row")
 
 
 def parallelism(spark) -> int:
@@ -216,7 +228,7 @@ class Layout:
     default from the input's size (``join_partitions``).
     """
 
-    coarse: int = 4
+    coarse: int = 3
     pairs: int = PAIRS
     partitions: int | None = None
 
@@ -256,10 +268,13 @@ def _trip_cells(base: DataFrame, spec: MatchSpec, outbound: bool) -> DataFrame:
     lie in, the cell of its dropoff, and its slots.  Either role clones the
     pickup and keeps the dropoff."""
     cells, slots, f = spec.cells, spec.slots, spec.cells.merge_factor
-    span = cells.span(F.col("pickup_lat"), F.col("pickup_lon"))
+    # small steps: a plan is analysed faster than one with copies of a tree
+    base = base.withColumn("_half", cells.half_width(F.col("pickup_lat")))
+    span = cells.span(F.col("pickup_lat"), F.col("pickup_lon"), F.col("_half"))
     lat, lon = cells.exact(F.col("dropoff_lat"), F.col("dropoff_lon"))
     out = {f"_{k}": floor_div(v, f) for k, v in span.items() if k != "edge"}
-    out |= {"_edge": F.transform(span["edge"], lambda x: floor_div(x, f)), "_lat": floor_div(lat, f), "_lon": floor_div(lon, f)}
+    edge = span["edge"] if f == 1 else F.transform(span["edge"], lambda x: floor_div(x, f))
+    out |= {"_edge": edge, "_lat": floor_div(lat, f), "_lon": floor_div(lon, f)}
     if slots is None:
         out["_slot0"], out["_slots"] = F.lit(0).cast("long"), F.lit(1).cast("long")
     elif outbound:
@@ -284,7 +299,7 @@ def _clones(df: DataFrame, lat0: Column, lats: Column, lon0: Column, edge: Colum
     df = df.withColumn("_lons", F.when(F.col("_run").isNull(), lons).otherwise(F.size("_run").cast("long")))
     count = F.col("_lats") * F.col("_lons") * F.col("_each")
     # outer, as explode_keys says: no filter on the array below an exchange
-    df = df.withColumn("_i", F.explode_outer(F.sequence(F.lit(0).cast("long"), count - 1))).where("_i is not null and _lons > 0")
+    df = df.withColumn("_i", F.explode_outer(F.sequence(F.lit(0).cast("long"), count - 1))).where("_i is not null")
     i = F.col("_i")
     row = F.call_function("div", i, F.col("_each"))
     x = F.pmod(row, F.col("_lons"))
@@ -311,9 +326,9 @@ def _coarse_rows(base: DataFrame, spec: MatchSpec, layout: Layout, outbound: boo
     """Trips under the names of their role, one row per coarse key ``_t_k``
     or ``_b_k``, with the cells that ``_fine_rows`` needs."""
     n, df = layout.coarse, _trip_cells(base, spec, outbound)
-    lat0, lon0 = floor_div(F.col("_lat0"), n), floor_div(F.col("_lon0"), n)
-    lats = _numbered(lat0, floor_div(F.col("_lat1"), n), CELL_BITS)
-    lons = _numbered(lon0, floor_div(F.col("_lon1"), n), CELL_BITS)
+    df = df.withColumns({f"_c{c}": floor_div(F.col(f"_{c}"), n) for c in ("lat0", "lat1", "lon0", "lon1")})
+    lat0, lon0 = F.col("_clat0"), F.col("_clon0")
+    lats, lons = _numbered(lat0, F.col("_clat1"), CELL_BITS), _numbered(lon0, F.col("_clon1"), CELL_BITS)
     edge = F.when(F.col("_edge").isNotNull(), _masked(F.col("_edge"), n))
     df = _clones(df, lat0, lats, lon0, edge, lons, F.col("_slots")).withColumn("_slot", F.col("_slot0") + F.col("_s"))
     role, k = ("to", "_t_k") if outbound else ("back", "_b_k")
