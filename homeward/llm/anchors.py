@@ -96,8 +96,11 @@ def window_table(keyed: DataFrame, wanted: DataFrame, symbols: Symbols, span: in
     key, extras)`` makes the named columns of one text's windows: ``at`` is
     the window's byte or word in the slice, ``place`` that in the text,
     ``h1`` and ``h2`` two 64-bit content hashes, ``n`` windows by segment."""
-    lists = wanted.groupBy("did", "th").agg(F.collect_list(F.struct("start", "n", *extra)).alias("segs"))
+    lists = wanted.groupBy("did", "th").agg(F.collect_set(F.struct("start", "n", *extra)).alias("segs"))
     rows = keyed.select("did", "th", "text").join(lists, ["did", "th"]).select("did", "th", "text", "segs")
+    # rows that repeat id and text give the windows of one of them; they
+    # meet in the join, so this moves nothing
+    rows = rows.dropDuplicates(["did", "th"])
 
     def run(batches):
         for batch in batches:
@@ -143,12 +146,12 @@ def runs_of(starts: np.ndarray, counts: np.ndarray, span: int) -> tuple[np.ndarr
 
 
 def covered_lists(*parts: DataFrame) -> DataFrame:
-    """(did, th, found): the repeated windows of each text.  A text's list is
-    bounded by its own length."""
+    """(did, th, found): the repeated windows of each text.  A set, so that a
+    text's list is bounded by its own length however many rows repeat it."""
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return rows.groupBy("did", "th").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    return rows.groupBy("did", "th").agg(F.collect_set(F.struct("start", "n")).alias("found"))
 
 
 def with_runs(keyed: DataFrame, found: DataFrame) -> DataFrame:

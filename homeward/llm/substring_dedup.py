@@ -45,9 +45,11 @@ def earlier_windows(keyed: DataFrame, *, span: int = SPAN, seed: int = SEED) ->
     shared = stage_table(segs.join(stage_table(seeds.where("a_first < a_last"), "seeds"), "anchor"), "shared")
     # one class: all texts have the same words around the seed
     alike = shared.where("s_low = s_high and did > a_first").select("did", "th", "start", "n")
-    several = shared.where("s_low < s_high").select("did", "th", "start", "n", "seg")
-    classes = stage_table(several.groupBy("seg").agg(F.min("did").alias("s_first")), "classes")
-    judged = several.join(classes, "seg")
+    # a class has the same seed and the same words around it: two hashes agree
+    same = ["anchor", "seg"]
+    several = shared.where("s_low < s_high").select("did", "th", "start", "n", *same)
+    classes = stage_table(several.groupBy(*same).agg(F.min("did").alias("s_first")), "classes")
+    judged = several.join(classes, same)
     later = judged.where("did > s_first").select("did", "th", "start", "n")
     firsts = judged.where("did = s_first").select("did", "th", "start", "n")
     windows = window_table(keyed, firsts, WORDS, span, _window, ["did", "th", "start", "h1", "h2"], [])

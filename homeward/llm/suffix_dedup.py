@@ -127,12 +127,14 @@ def repeated_windows(keyed: DataFrame, *, span: int = SPAN, anchor: int = ANCHOR
     # aggregation, Spark could not split the join of a hot anchor or class
     anchors = segs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_places"), F.min("seg").alias("s_low"), F.max("seg").alias("s_high"))
     anchors = stage_table(anchors.where("n_places > 1"), "anchors")
-    shared = stage_table(segs.join(anchors, "anchor").select("did", "th", "start", "n", "seg", (F.col("s_low") == F.col("s_high")).alias("alike")), "shared")
+    shared = stage_table(segs.join(anchors, "anchor").select("did", "th", "start", "n", "anchor", "seg", (F.col("s_low") == F.col("s_high")).alias("alike")), "shared")
     place = ["did", "th", "start", "n"]
     alike = shared.where("alike").select(*place)
-    several = shared.where("not alike").select(*place, "seg")
-    classes = stage_table(several.groupBy("seg").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct(*place)).alias("one")), "classes")
-    copies = several.join(classes.where("places > 1").select("seg"), "seg").select(*place)
+    # a class has the same anchor and the same segment: two hashes agree
+    same = ["anchor", "seg"]
+    several = shared.where("not alike").select(*place, *same)
+    classes = stage_table(several.groupBy(*same).agg(F.count(F.lit(1)).alias("places"), F.min(F.struct(*place)).alias("one")), "classes")
+    copies = several.join(classes.where("places > 1").select(*same), same).select(*place)
     wanted = classes.select("one.*", "seg", "places")
     suffixes = window_table(keyed, wanted, BYTES, span, _suffix, ["lead", "h1", "tag", "seg"], ["seg", "places"])
     buckets = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))

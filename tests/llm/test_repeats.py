@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from homeward.llm import substring_dedup, suffix_dedup
 from homeward.llm.anchors import BYTES, WORDS, segments
@@ -214,3 +215,17 @@ def test_multikey_quicksort_of_many():
     r = np.random.default_rng(1)
     keys = [r.integers(0, 4, 60_000), r.integers(0, 300, 60_000), r.integers(-(2**62), 2**62, 60_000)]
     assert (suffix_dedup.multikey_quicksort(keys) == np.lexsort(keys[::-1])).all()
+
+
+def test_many_equal_rows_without_id(spark):
+    """3,000 times the same row: the work of one text and a result for each."""
+    text = " ".join(cases.words(91, 2500, 40_000))
+    row = spark.createDataFrame([(None, text, None), (5, "other " + text, None)], cases.SCHEMA)
+    rows = row.where("doc_id is null").withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("_n")
+    rows = rows.unionAll(row.where("doc_id = 5")).repartition(8)
+    n = len(text.encode())
+    got = suffix_dedup.remove_repeats(rows).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, n, n, 1, 3000), (5, n + 6, n, 1, 1)], key=str)
+    got = substring_dedup.remove_repeats(rows).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    # ids that are null come after all others
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 2500, 2500, 3000), (5, 2501, 0, 1)], key=str)
