@@ -98,12 +98,22 @@ def window_table(keyed: DataFrame, wanted: DataFrame, symbols: Symbols, span: in
     ``h1`` and ``h2`` two 64-bit content hashes, ``n`` windows by segment."""
     lists = wanted.groupBy("did", "th").agg(F.collect_set(F.struct("start", "n", *extra)).alias("segs"))
     rows = keyed.select("did", "th", "text").join(lists, ["did", "th"]).select("did", "th", "text", "segs")
-    # rows that repeat id and text give the windows of one of them; they
-    # meet in the join, so this moves nothing
-    rows = rows.dropDuplicates(["did", "th"])
 
-    def run(batches):
+    def once(batches):
+        """Rows that repeat id and text follow one another behind the join;
+        the windows of one of them are enough."""
+        last = None
         for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)])
+            new = np.ones(keys.shape[1], bool)
+            new[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+            if len(new):
+                new[0] = last is None or (keys[:, 0] != last).any()
+                last = keys[:, -1]
+            yield batch if new.all() else batch.filter(pa.array(new))
+
+    def run(batches):
+        for batch in once(batches):
             did, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             flat = batch.column(3).flatten()
             starts, counts, *extras = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2 + len(extra)))
