@@ -17,7 +17,8 @@ from .functions.geo import epoch_seconds, haversine_m
 from .functions.grid import METRIC, UNIFORM_176, CellKeys, SlotKeys
 from .operators.clean import distinct_rows, nonzero_coordinates, positive_duration
 from .operators.expand import neighbour_clones, time_clones, with_cells, with_time_slot
-from .operators.joins import count_gap_pairs, distance_gap_join, distance_join
+from .operators.distance_count import count_distance_pairs
+from .operators.joins import count_gap_pairs, distance_gap_join
 from .operators.summary import count_rows, first_rows
 from .plans.return_trips import (
     Layout,
@@ -193,8 +194,8 @@ def q_gap_join_count(spark, sf_dir):
 
 def q_distance_join_count(spark, sf_dir):
     a, b = _roles(spark, sf_dir)
-    pairs = distance_join(a, b, ("a_dropoff_lat", "a_dropoff_lon"), ("b_pickup_lat", "b_pickup_lon"), 100.0)
-    return count_rows(pairs)
+    found = count_distance_pairs(a, b, ("a_dropoff_lat", "a_dropoff_lon"), ("b_pickup_lat", "b_pickup_lon"), 100.0)
+    return found.select("n")
 
 
 def q_distance_gap_join_count(spark, sf_dir):
