@@ -9,7 +9,7 @@ characters before the span.  Matches are leftmost and non-overlapping by
 kind; spans of different kinds may overlap.  Offsets count code points.
 
 Patterns are written so that every text takes time in proportion to its
-length: runs are possessive and begin only where a run begins, and
+length, and spans in proportion to their number: runs are possessive and begin only where a run begins, and
 separators that may stand inside a match are first replaced, one for one,
 by a private-use character, so that no group repeats without bound.
 
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import let, same_shape
+from .native import let, part, pieces, running, same_shape
 
 INNER = "\ue000"  # stands for a separator inside a match
 NEARBY = 40
@@ -84,31 +84,34 @@ _NO_SPANS = "array<struct<start:int,kind:int,end:int,score:double>>"
 
 def _matches(text: Column, kind: Kind) -> Column:
     """Array of (start, end, match): the gaps between matches come from
-    splitting by the same pattern, positions from adding up lengths."""
-    state = "struct<at:int,found:array<struct<start:int,end:int,value:string>>>"
+    splitting by the same pattern, positions from running sums of lengths."""
 
-    def step(acc: Column, z: Column) -> Column:
-        start = acc["at"] + F.length(z["gap"])
-        end = start + F.coalesce(F.length(z["value"]), F.lit(0))
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), z["value"].alias("value")))
-        return F.struct(end.alias("at"), F.when(z["value"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], one)).alias("found"))
+    def placed(z: Column) -> Column:
+        lengths = F.transform(z, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0)))
+        matches = F.filter(z, lambda p: p["value"].isNotNull())
+
+        def one(p: Column, start: Column) -> Column:
+            return F.struct(start.alias("start"), (start + F.length(p["value"])).alias("end"), p["value"].alias("value"))
+
+        return running(
+            lengths, lambda x, y: x + y, lambda before: F.transform(matches, lambda p, i: let(before(i) + F.length(p["gap"]), lambda start: one(p, start)))
+        )
 
     def found(t: Column) -> Column:
-        pairs = F.arrays_zip(F.split(t, kind.pattern, -1).alias("gap"), F.regexp_extract_all(t, F.lit(kind.pattern), F.lit(0)).alias("value"))
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found")).cast(state)
-        return F.aggregate(pairs, zero, lambda acc, z: step(acc, z).cast(state))["found"]
+        gaps = F.split(t, kind.pattern, -1)
+        return let(F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(t, F.lit(kind.pattern), F.lit(0)).alias("value")), placed)
 
     if kind.inner:
         text = F.regexp_replace(F.regexp_replace(text, INNER, "\ue001"), kind.inner, INNER)
     return let(text, found)
 
 
-def _spans(text: Column, kind: Kind, order: int) -> Column:
+def _spans(text: Column, cut: Column, kind: Kind, order: int) -> Column:
     valid = F.filter(_matches(text, kind), lambda m: kind.valid(m["value"]))
 
     def scored(m: Column) -> Column:
         from_ = F.greatest(m["start"] - NEARBY, F.lit(0))
-        near = F.lower(F.substring(text, from_ + 1, m["start"] - from_))
+        near = F.lower(part(cut, from_, m["start"] - from_))
         score = kind.score + F.when(near.rlike(f"(?:{kind.words})"), 0.4).otherwise(0.0)
         return F.struct(m["start"].alias("start"), F.lit(order).alias("kind"), m["end"].alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
@@ -122,7 +125,7 @@ def find_spans(df: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``df`` with ``spans``: array of (start, kind, end, score) by start and
     kind; ``kind`` is a place in ``KINDS``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = let(text, lambda t: F.sort_array(F.concat(*[_spans(t, k, i) for i, k in enumerate(KINDS)])))
+    found = let(text, lambda t: let(pieces(t), lambda cut: F.sort_array(F.concat(*[_spans(t, cut, k, i) for i, k in enumerate(KINDS)]))))
     return same_shape(df, {"spans": found})
 
 
@@ -147,16 +150,19 @@ def report(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 def redact(df: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``df`` with every span replaced by its kind in angle brackets; spans
     that overlap become one, named by the first.  A null text stays null."""
-    state = "struct<at:int,parts:array<string>>"
     names = F.array(*[F.lit(f"<{k.name.upper()}>") for k in KINDS])
-    text = F.col(text_col)
-
-    def step(acc: Column, s: Column) -> Column:
-        more = F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"])))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], more).otherwise(acc["parts"]).alias("parts")).cast(state)
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")).cast(state)
-    cut = F.aggregate("spans", zero, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    text, n = F.col(text_col), F.size("spans")
+
+    def written(cut: Column, before: Callable[[Column], Column]) -> Column:
+        """Each span that begins behind all earlier ones takes the text from
+        their end on with it; the rest of the text comes last."""
+        placed = F.transform("spans", lambda s, i: F.struct(before(i).alias("from"), s["start"].alias("start"), s["kind"].alias("kind")))
+        firsts = F.filter(placed, lambda s: s["start"] >= s["from"])
+        cuts = F.transform(firsts, lambda s: F.concat(part(cut, s["from"], s["start"] - s["from"]), F.get(names, s["kind"])))
+        return F.concat(F.array_join(cuts, ""), part(cut, before(n), F.length(text)))
+
+    ends = F.transform("spans", lambda s: s["end"])
+    cut = let(pieces(text), lambda c: running(ends, lambda x, y: F.greatest(x, y), lambda before: written(c, before)))
     rows = find_spans(df.select("*"), text_col=text_col)
     columns = [F.when(text.isNull() | (F.size("spans") == 0), text).otherwise(cut).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns if c != "spans"]
     return rows.select(*columns)

@@ -147,3 +147,30 @@ def test_url_model_on_other_words(spark):
 def test_label_table_is_not_of_the_pages(spark, sf_dir):
     pages = {h for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("url").collect() for h in brute.split_url(r.url)[0].split(".")}
     assert not pages & {*url_filter.UNWANTED, *url_filter.WANTED}
+
+
+def test_many_spans_of_one_text(spark):
+    """Positions past several levels of running sums and many pieces of the
+    text, with gaps shorter than the context and longer than a piece."""
+    import random
+
+    r = random.Random(5)
+    parts = []
+    for i in range(6000):
+        parts.append(r.choice([f"mail x{i}@host{i % 7}.org", f"+49 30 {1000000 + i}", "4111 1111 1111 1111", f"10.{i % 256}.0.{i % 300}", "ä\U0001f600 " * r.choice([0, 1, 200]), "a.b@c.d x@y.z"]))
+    text = r.choice([" ", ", "]).join(parts)
+    rows = [(1, text, None), (2, "x@y.z " * 40000, None), (3, "", None)]
+    found = {x.doc_id: x for x in personal_data.report(cases.table(spark, rows)).collect()}
+    for i, t, _ in rows:
+        spans = brute.base_spans(t)
+        assert found[i].base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert found[2].n_email == 40000
+    redacted = {x.doc_id: x.text for x in personal_data.redact(cases.table(spark, rows)).collect()}
+    assert redacted[2] == "<EMAIL> " * 40000 and redacted[3] == ""
+    spans = [s.split(":") for s in found[1].spans.split(",")]
+    at, want = 0, []
+    for kind, start, end in ((k, int(a), int(b)) for k, a, b in spans):
+        if start >= at:
+            want += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
+    assert redacted[1] == "".join(want) + text[at:]
