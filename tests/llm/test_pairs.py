@@ -220,15 +220,46 @@ def test_items_shorter_than_a_seed(spark):
     assert [r.doc_id for r in decontaminate.clean(cases.table(spark, rows), benchmark).collect()] == [7]
 
 
-def test_blocks_of_the_benchmark(spark, monkeypatch):
-    item = [" ".join(cases.words(70 + i, 30, 5000)) for i in range(9)]
-    rows = [(i, f"before {t} after", None) for i, t in enumerate(item)] + [(50, " ".join(item), None)]
-    benchmark = items(spark, list(enumerate(item)))
-    whole = sorted(map(tuple, decontaminate.contaminated(cases.table(spark, rows), benchmark).collect()))
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 70)
-    assert len(list(decontaminate.blocks_of(benchmark, 5))) == 5
-    assert sorted(map(tuple, decontaminate.contaminated(cases.table(spark, rows), benchmark).collect())) == whole
-    assert len(whole) == 18
+def greedy_tiles(a, b, least):
+    """The longest free match, the first of equal ones, until none is left."""
+    a, b, out = list(a), list(b), []
+    while True:
+        best = (least - 1, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] is not None and a[i + n] == b[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return out
+        a[i : i + n] = [None] * n
+        b[j : j + n] = [None] * n
+        out.append((i, j, n))
+
+
+def test_tiles_are_strictly_greedy():
+    r = random.Random(5)
+    for _ in range(1500):
+        letters, least = r.choice("23456"), r.randrange(1, 5)
+        a, b = ([r.randrange(int(letters)) for _ in range(r.randrange(1, 30))] for _ in range(2))
+        x, y = (np.array(v, np.uint64) + np.uint64(17) for v in (a, b))
+        assert decontaminate.tiles(x, y, least) == greedy_tiles(a, b, least)
+
+
+def test_filter_of_any_size_finds_the_same(spark):
+    item = [" ".join(cases.words(70 + i, 30, 5000)) for i in range(9)] + ["w1 w2", "w3"]
+    rows = [(i, f"before {t} after", None) for i, t in enumerate(item)] + [(50, " ".join(item), None)] * 3 + [(60, " ".join(cases.words(80, 3000, 5000)), None)]
+    benchmark = items(spark, [*enumerate(item), (20, item[0])])
+    whole = decontaminate.tiled_hits(cases.table(spark, rows), benchmark)
+    full = decontaminate.tiled_hits(cases.table(spark, rows), benchmark, most_bits=1024)  # nearly all bits are set
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, full.collect()))
+    got = Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(cases.table(spark, rows), benchmark).collect())
+    folded = [f" {t} " for t in item]
+    want = Counter((d, m) for d, t, _ in rows for m, x in [*enumerate(folded), (20, folded[0])] if x in f" {t} ")
+    assert got == want and got[50, 20] == 3
 
 
 def test_folded_words():
