@@ -156,7 +156,7 @@ def _blocks(members: DataFrame, spec: JoinSpec) -> DataFrame:
     """Adds each member's block and the number of blocks of its component."""
     sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("shingles"))
     cut = F.greatest(F.ceil(F.col("texts") / spec.block_texts), F.ceil(F.col("shingles") / spec.block_shingles)).cast("int")
-    sizes = sizes.select("comp", cut.alias("blocks"))
+    sizes = stage_table(sizes.select("comp", cut.alias("blocks")), "sizes")
     return members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int"))
 
 
@@ -259,9 +259,11 @@ def similar(df: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id
     classes = stage_table(classes.select("f1", "f2", "size", "one.*", F.monotonically_increasing_id().alias("vid")), "classes")
 
     buckets = classes.select("vid", F.explode("bands").alias("band"))
-    least = buckets.groupBy("band").agg(F.min("vid").alias("low"), F.max("vid").alias("high")).where("low < high").select("band", "low")
+    # aggregates are written before they are joined back: a join in a stage
+    # of its own can be split at a hot band or class
+    least = stage_table(buckets.groupBy("band").agg(F.min("vid").alias("low"), F.max("vid").alias("high")).where("low < high").select("band", "low"), "bands")
     candidates = buckets.join(least, "band").where("vid > low").select(F.col("vid").alias("a"), F.col("low").alias("b"))
-    grouped = connected_components(candidates).select(F.col("vertex").alias("vid"), F.col("root").alias("comp"))
+    grouped = stage_table(connected_components(candidates).select(F.col("vertex").alias("vid"), F.col("root").alias("comp")), "grouped")
 
     members = _blocks(grouped.join(classes.select("vid", "did", "th", "n", "size"), "vid"), spec).select("comp", "vid", "did", "th", "size", "block", "blocks")
     rows = _member_shingles(keyed, members, spec)
@@ -271,7 +273,9 @@ def similar(df: DataFrame, spec: JoinSpec = JoinSpec(), *, id_col: str = "doc_id
 
     joined = connected_components(linked.select(F.col("vid").alias("a"), F.col("root").alias("b"))).select(F.col("vertex").alias("vid"), "root")
     named = joined.join(classes.select("vid", "did"), "vid")
-    named = named.join(named.groupBy("root").agg(F.min("did").alias("class_did")), "root").select("vid", "class_did", "root")
+    named = stage_table(named, "named")
+    first = stage_table(named.groupBy("root").agg(F.min("did").alias("class_did")), "first")
+    named = named.join(first, "root").select("vid", "class_did", "root")
     totals = linked.groupBy("vid").agg(F.sum("links").alias("links"))
     judged = classes.select("f1", "f2", "vid", "size", F.col("did").alias("rep_did")).join(totals, "vid", "left").join(named, "vid", "left")
     out = found.select("did", "th", "n", "f1", "f2").join(judged.withColumn("some", F.lit(True)), ["f1", "f2"], "left")
