@@ -6,8 +6,9 @@ are no letters becomes one space, and a space is put at both ends.  Its
 1- to 3-grams are hashed into ``2**bits`` buckets.  Training counts them by
 language over all labelled rows: each task adds up its own counts and one
 aggregation joins them, so a language that holds most rows costs no more
-than a rare one.  The model is the matrix of log probabilities (languages x
-buckets, a bounded size), broadcast to the tasks that score.
+than a rare one.  The model is the matrix of log probabilities (buckets x
+languages), broadcast to the tasks that score, in blocks of at most
+``BLOCK_LANGUAGES`` languages; any number of languages is scored exactly.
 
 Rows with null text or null language teach nothing.  A text that is null or
 has no letter is ``und`` with score 0.  Equal scores go to the language
@@ -19,7 +20,7 @@ a cut included.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_text, map_arrow, text_slices
+from .common import flat_text, map_arrow, stage_table, text_slices
 
 UNDETERMINED = "und"
 SLICE_BYTES = 1 << 20
-MOST_LANGUAGES = 512  # bound of the broadcast matrix; more is an error
+BLOCK_LANGUAGES = 64  # columns of a broadcast matrix (16 MB)
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,31 @@ class Model:
     log_prob: np.ndarray  # bucket x language
 
 
+@dataclass
+class Counts:
+    """N-gram counts of all languages, a written table (lang, bucket, n);
+    bucket ``2**bits`` has a language's rows."""
+
+    spec: NgramSpec
+    table: DataFrame
+    languages: list[str]
+    rows: int
+
+    def models(self):
+        """Models of at most ``BLOCK_LANGUAGES`` languages each, whose counts
+        alone reach the driver (a row for each language and bucket).  Priors
+        are those among all languages."""
+        size = 1 << self.spec.bits
+        for i in range(0, max(len(self.languages), 1), BLOCK_LANGUAGES):
+            block = self.languages[i : i + BLOCK_LANGUAGES]
+            found = self.table.where(F.col("lang").between(block[0], block[-1])).toPandas() if block else None
+            matrix = np.zeros((size + 1, len(block)))
+            if block:
+                matrix[found["bucket"].to_numpy(np.int64), found["lang"].map({x: k for k, x in enumerate(block)}).to_numpy(np.int64)] = found["n"].to_numpy()
+            grams = matrix[:size] + self.spec.smoothing
+            yield Model(self.spec, block, np.log(matrix[size] / max(self.rows, 1)), np.log(grams / grams.sum(axis=0, keepdims=True)))
+
+
 @lru_cache(maxsize=1)
 def _folding() -> np.ndarray:
     """For each code point its lower-case letter, or a space."""
@@ -148,7 +174,7 @@ def _ngrams(batch: pa.RecordBatch, column: int, spec: NgramSpec):
         carry = letters[max(len(letters) - max(spec.orders) + 1, 0) :] if more else None
 
 
-def learn(df: DataFrame, spec: NgramSpec = NgramSpec(), *, text_col: str = "text", lang_col: str = "lang") -> Model:
+def learn(df: DataFrame, spec: NgramSpec = NgramSpec(), *, text_col: str = "text", lang_col: str = "lang") -> Counts:
     """Count n-grams by language over all labelled rows."""
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     size = 1 << spec.bits
@@ -168,25 +194,36 @@ def learn(df: DataFrame, spec: NgramSpec = NgramSpec(), *, text_col: str = "text
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())], ["lang", "bucket", "n"])
 
     totals = map_arrow(rows, count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # at most (buckets + 1) counts for each language
-    found = totals.toPandas()
-    languages = sorted(found["lang"].unique())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model is bounded to {MOST_LANGUAGES}")
-    matrix = np.zeros((size + 1, len(languages)))
-    matrix[found["bucket"].to_numpy(np.int64), found["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)] = found["n"].to_numpy()
-    grams = matrix[:size] + spec.smoothing
-    priors = matrix[size]
-    return Model(spec, languages, np.log(priors / max(priors.sum(), 1)), np.log(grams / grams.sum(axis=0, keepdims=True)))
-
-
-def predict(df: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    totals = stage_table(totals, "ngrams")
+    found = totals.where(F.col("bucket") == size).select("lang", "n").collect()  # one row for each language
+    # in the order of Spark's strings, that of their bytes
+    return Counts(spec, totals, sorted((r["lang"] for r in found), key=str.encode), sum(r["n"] for r in found))
+
+
+def _log_likelihood(batch: pa.RecordBatch, at: int, m: Model):
+    """(log posterior but for a constant by row and language, letters)."""
+    n, width = batch.num_rows, len(m.languages)
+    total, letters = np.zeros((n, width)), np.zeros(n, np.int64)
+    for a, b, bucket, of, counted in _ngrams(batch, at, m.spec):
+        letters[a:b] += counted
+        # sparse rows: (text, bucket) entries against the dense matrix
+        for j in range(width):
+            total[a:b, j] += np.bincount(of, m.log_prob[bucket, j], minlength=b - a)
+    return total + m.log_prior, letters
+
+
+def predict(df: DataFrame, counts: Counts, *, text_col: str = "text") -> DataFrame:
     """``df`` with lang_pred and score, the posterior probability of the
-    predicted language.  Map-only; the text is the only input."""
-    spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    predicted language (of equal ones the first by name).  The text is the
+    only input.  Map-only where one block holds all languages; else each
+    block scores the texts in turn and the blocks' best languages and sums
+    are joined, under a key of two hashes of the text."""
     others = [c for c in df.columns if c not in ("lang_pred", "score")]
-    columns = [F.col(f"`{c}`") for c in others]
+    rows = df.select(*[F.col(f"`{c}`") for c in others])
+    if len(counts.languages) > BLOCK_LANGUAGES:
+        return _predict_by_blocks(rows, counts, text_col)
+    (model,) = counts.models()
+    sent = df.sparkSession.sparkContext.broadcast(model)
     at = others.index(text_col)
 
     def score(batches):
@@ -195,29 +232,59 @@ def predict(df: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
         names = np.array([*m.languages, UNDETERMINED], object)
         for batch in batches:
             n = batch.num_rows
-            total, letters_of = np.zeros((n, max(width, 1))), np.zeros(n, np.int64)
-            for a, b, bucket, of, counted in _ngrams(batch, at, m.spec):
-                letters_of[a:b] += counted
-                # sparse rows: (text, bucket) entries against the dense matrix
-                for j in range(width):
-                    total[a:b, j] += np.bincount(of, m.log_prob[bucket, j], minlength=b - a)
             best, score = np.full(n, width), np.zeros(n)
             if width:
-                total += m.log_prior
+                total, letters = _log_likelihood(batch, at, m)
                 rest = np.exp(total - total.max(axis=1, keepdims=True))
                 top = total.argmax(axis=1)
-                seen = letters_of > 0
+                seen = letters > 0
                 best = np.where(seen, top, width)
                 score = np.where(seen, rest[np.arange(n), top] / rest.sum(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names[best], pa.string()), pa.array(score, pa.float64())], [*others, "lang_pred", "score"]
             )
 
-    rows = df.select(*columns)
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return map_arrow(rows, score, schema)
 
 
+KEYS = ("__t1", "__t2")
+
+
+def _predict_by_blocks(rows: DataFrame, counts: Counts, text_col: str) -> DataFrame:
+    spark = rows.sparkSession
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    keys = dict(zip(KEYS, (F.xxhash64(text), F.xxhash64(F.lit("second"), text))))
+    texts = rows.select(*[k.alias(n) for n, k in keys.items()], text.alias("text"))
+    names = [*KEYS, "lang", "top", "total"]
+    parts = []
+    for model in counts.models():
+        sent = spark.sparkContext.broadcast(model)
+
+        def score(batches, sent=sent):
+            m = sent.value
+            languages = np.array(m.languages, object)
+            for batch in batches:
+                total, letters = _log_likelihood(batch, 2, m)
+                best = total.argmax(axis=1)
+                top = total[np.arange(len(best)), best]
+                whole = pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(languages[best], pa.string()), pa.array(top), pa.array(np.exp(total - top[:, None]).sum(axis=1))], names
+                )
+                yield whole.filter(pa.array(letters > 0))
+
+        # written, so that one block's matrix at a time is in memory; equal
+        # texts have equal rows
+        part = map_arrow(texts, score, "__t1 bigint, __t2 bigint, lang string, top double, total double")
+        parts.append(stage_table(part.groupBy(*KEYS).agg(*[F.first(c).alias(c) for c in names[2:]]), "language-block"))
+        sent.destroy()
+    found = reduce(DataFrame.union, parts).groupBy(*KEYS).agg(F.min(F.struct((-F.col("top")).alias("cost"), "lang")).alias("best"), F.collect_list(F.struct("top", "total")).alias("all"))
+    share = F.aggregate("all", F.lit(0.0), lambda acc, x: acc + x["total"] * F.exp(x["top"] + F.col("best.cost")))
+    found = stage_table(found.select(*KEYS, F.col("best.lang").alias("__lang"), (1 / share).alias("__score")), "languages")
+    joined = rows.withColumns(keys).join(found, list(KEYS), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce("__lang", F.lit(UNDETERMINED)).alias("lang_pred"), F.coalesce("__score", F.lit(0.0)).alias("score"))
+
+
 def held_out(id_column: Column, folds: int = 5) -> Column:
     """Rows whose crc32 of the id as text falls into fold 0.  A null id is
     in no fold and so not held out."""
@@ -227,5 +294,5 @@ def held_out(id_column: Column, folds: int = 5) -> Column:
 def identify(df: DataFrame, spec: NgramSpec = NgramSpec(), *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learn on the rows that are not held out and predict every row:
     ``df`` with held_out, lang_pred and score."""
-    model = learn(df.where(~held_out(F.col(id_col))), spec, text_col=text_col, lang_col=lang_col)
-    return predict(df.drop("held_out").withColumn("held_out", held_out(F.col(id_col))), model, text_col=text_col)
+    counts = learn(df.where(~held_out(F.col(id_col))), spec, text_col=text_col, lang_col=lang_col)
+    return predict(df.drop("held_out").withColumn("held_out", held_out(F.col(id_col))), counts, text_col=text_col)

@@ -100,6 +100,31 @@ def test_language_edges(spark):
     assert language_id.identify(cases.empty(spark)).count() == 0
 
 
+def test_more_languages_than_a_block_holds(spark, monkeypatch):
+    r = random.Random(8)
+    vocabulary = {f"l{k}": ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(4)] for k in range(7)}
+    rows = [(i, " ".join(r.choices(vocabulary[f"l{i % 7}"], k=5)), f"l{i % 7}") for i in range(70)]
+    # equal scores in two blocks, texts without letters, equal texts
+    rows += [(200, "zzz yyy", "l8"), (201, "zzz yyy", "l9"), (202, "zzz yyy", None), (203, "1 2", None), (204, None, None), (202, "zzz yyy", None), (None, "", None)]
+    df = cases.clashing(cases.table(spark, rows))
+    counts = language_id.learn(df)
+
+    def answers():
+        found = language_id.predict(df, counts)
+        assert found.columns == [*[c for c in df.columns if c not in ("lang_pred", "score")], "lang_pred", "score"]
+        return sorted(((str(x.doc_id), x.lang_pred, round(x.score, 9)) for x in found.collect()))
+
+    whole = answers()
+    assert len(whole) == len(rows)
+    # two languages share the text, the first by name is taken; the others
+    # have what smoothing leaves
+    assert {(b, 0 < c <= 0.5) for a, b, c in whole if a in ("200", "201", "202")} == {("l8", True)}
+    for block in (1, 4):
+        monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", block)
+        assert all(len(m.languages) <= block for m in counts.models())
+        assert answers() == whole
+
+
 def test_pieces_of_long_texts_count_the_same(spark, monkeypatch):
     import pyarrow as pa
 
@@ -125,7 +150,7 @@ def test_ngrams_across_cuts(spark):
     assert len(data) > 2 * cut
     bucket, _ = language_id._buckets(*language_id._folded(data, np.array([0, len(data)]))[:2], spec)
     want = np.bincount(bucket, minlength=1 << spec.bits) + spec.smoothing
-    model = language_id.learn(cases.table(spark, [(1, text, "x")]), spec)
+    model = next(language_id.learn(cases.table(spark, [(1, text, "x")]), spec).models())
     assert (np.rint(np.exp(model.log_prob[:, 0]) * want.sum() - spec.smoothing) == want - spec.smoothing).all()
 
 
