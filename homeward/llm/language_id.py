@@ -95,10 +95,10 @@ def _folded(data: np.ndarray, offsets: np.ndarray):
     heads = (data & 0xC0) != 0x80
     at = np.concatenate([[0], np.cumsum(heads)])[offsets]  # first code point of each text
     own = np.repeat(np.arange(n), np.diff(at))
-    # a space before each text and one at the end
-    letters = np.insert(_folding()[points], at[:-1], 32)
-    letters = np.append(letters, np.uint32(32))
-    doc = np.append(np.insert(own, at[:-1], np.arange(n)), n - 1)
+    # a space before and one behind each text
+    ends = np.stack([at[:-1], at[1:]], axis=1).ravel()
+    letters = np.insert(_folding()[points], ends, 32)
+    doc = np.insert(own, ends, np.repeat(np.arange(n), 2))
     blank = letters == 32
     keep = ~blank
     keep[0] = True

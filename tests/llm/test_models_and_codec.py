@@ -141,6 +141,24 @@ def test_pieces_of_long_texts_count_the_same(spark, monkeypatch):
     assert abs(whole - parts).sum() < 0.01 * whole.sum()
 
 
+def test_ngrams_do_not_depend_on_the_texts_beside():
+    import pyarrow as pa
+
+    spec = language_id.NgramSpec()
+    texts = ["abc de", "", "zzz yyy", " zzz  yyy. ", "1 2", "q", "", "é"]
+
+    def counts(values):
+        out = [[] for _ in values]
+        for a, _, bucket, of, _ in language_id._ngrams(pa.RecordBatch.from_arrays([pa.array(values)], ["text"]), 0, spec):
+            for b, t in zip(bucket.tolist(), of.tolist()):
+                out[a + t].append(b)
+        return [sorted(x) for x in out]
+
+    together = counts(texts)
+    assert together == [counts([t])[0] for t in texts] and together[2] == together[3]
+    assert [len(x) for x in together] == [18, 0, 21, 21, 0, 4, 0, 4]
+
+
 def test_ngrams_across_cuts(spark):
     # cuts inside words, in a run of spaces, and between letters of two bytes
     cut = language_id.SLICE_BYTES
