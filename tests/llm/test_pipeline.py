@@ -55,5 +55,5 @@ def test_run(spark, sf_dir):
 def test_registered(spark):
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
