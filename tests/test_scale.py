@@ -170,3 +170,14 @@ def test_ordered_sample_in_two_levels(spark, sf_dir):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert first_rows(trips, 300).count() == 300 and first_rows(trips, 10**6).count() == trips.count()
+
+
+def test_large_ordered_sample_sends_no_more_than_its_rows(spark, sf_dir):
+    """Over the session's limit of ranks cut in a task (1,000), every row was sent."""
+    trips = raw_trips(spark, sf_dir).repartition(40)
+    order = trips.columns
+    got = first_rows(trips, 1500, order)
+    want = trips.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(1500)
+    assert got.collect() == want.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan and "Coalesce" in plan
