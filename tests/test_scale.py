@@ -181,3 +181,36 @@ def test_large_ordered_sample_sends_no_more_than_its_rows(spark, sf_dir):
     assert got.collect() == want.collect()
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "Window" not in plan and "Coalesce" in plan
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("shufflepartitionidpassthrough"), plan.count("Exchange hashpartitioning")
+
+
+def test_clones_are_made_behind_the_exchange(spark, sf_dir):
+    """Each side of the match has one exchange, of rows by wide cells; the
+    fine clones stay in the partition that they are made in."""
+    trips = clean_trips(spark, sf_dir).repartition(8)
+    for pairs in (match_return_trips(trips), match_adjacent_slots(trips, grid=UNIFORM_176, neighbours="fixed")):
+        assert _exchanges(pairs) == (2, 0)
+
+
+def test_keys_of_a_coarse_fixed_grid_are_cut(spark):
+    from homeward.functions.grid import METRIC, CellKeys
+
+    assert 100 <= CellKeys(UNIFORM_176, 100.0, "fixed").parts.grid.cell_height_m() < 110
+    assert CellKeys(METRIC, 100.0, "fixed").parts.grid == METRIC
+
+
+def test_fields_are_no_smaller_than_the_whole_join_needs(spark):
+    """Two thousand keys of 400 candidates over 8 partitions: with a limit of
+    16, each was cut into a field for each candidate and copied 20 times."""
+    from homeward.operators.balanced import Buckets
+
+    side = spark.range(40_000).select((F.col("id") % 2000).alias("k"))
+    buckets = Buckets(side, side.toDF("r"), [("k", "r")], 8)
+    n, pairs, field = buckets.share(16, 8)
+    heavy = heavy_keys(side, side.toDF("r"), [("k", "r")], pairs, n, buckets, field)
+    assert (n, pairs, heavy.count()) == (8, 16, 2000)
+    assert heavy.agg(F.max(F.col("_rows") * F.col("_cols"))).first()[0] == 1
