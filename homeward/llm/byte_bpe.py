@@ -9,6 +9,9 @@ by appending bytes, and after an edit only the prefixes near it change.
 Texts are split by the tokenizer's pattern and each match is encoded by
 itself.  A text that is null is empty; an empty text has no token.  Texts
 are read whole, of any length; repeated rows get equal rows.
+
+A task has a codec of its own, which it drops with all that was remembered
+when it ends: a Python worker goes on to other operators' tasks.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import base64
 import hashlib
 import re
 import struct
-from functools import lru_cache
+from functools import partial
 
 import ahocorasick
 import numpy as np
@@ -28,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-KNOWN = 400_000  # entries in one generation of a worker's memory; a cache's size
-KNOWN_PAIRS = 1_000_000
+KNOWN = 200_000  # entries in one generation of a task's memory
+KNOWN_PAIRS = 500_000
 BLANKS = re.compile(r"^ |\s ").search
 
 
@@ -210,20 +213,29 @@ class Memory(dict):
         return value
 
 
+def _packed(vocabulary: Vocabulary, piece: str) -> bytes:
+    data = piece.encode()
+    whole = vocabulary.ranks.get(data)
+    ids = [whole] if whole is not None else PrefixTable(vocabulary, data).tokens()
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _packed_word(vocabulary: Vocabulary, split, pieces: Memory, word: str) -> bytes:
+    """A word with the space before it; one of a single piece is remembered
+    as a word only."""
+    parts = split(" " + word)
+    return _packed(vocabulary, parts[0]) if len(parts) == 1 else b"".join(map(pieces.__getitem__, parts))
+
+
 class Codec:
-    """Ids are packed as little-endian 32-bit integers while encoding."""
+    """Ids are packed as little-endian 32-bit integers while encoding.  No
+    part refers back to the codec, so that it goes as soon as it is dropped."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary = Vocabulary(ranks)
         self.split = regex.compile(pattern).findall
-        self.pieces = Memory(self._piece)
-        self.words = Memory(lambda word: self._text(" " + word))
-
-    def _piece(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.pieces = Memory(partial(_packed, self.vocabulary))
+        self.words = Memory(partial(_packed_word, self.vocabulary, self.split, self.pieces))
 
     def _text(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
@@ -252,9 +264,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """A worker's codec; the vocabulary file is installed on each machine."""
+    """A new codec; the vocabulary file is installed on each machine."""
     return Codec(read_ranks(path), pattern)
 
 

@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from .common import flat_text, map_arrow, stage_table, text_slices
 
 UNDETERMINED = "und"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20  # of a long text
+BATCH_BYTES = 1 << 18  # of several texts; their arrays take 120 times as much
 BLOCK_LANGUAGES = 64  # columns of a broadcast matrix (16 MB)
 
 
@@ -137,7 +138,7 @@ def _pieces(batch: pa.RecordBatch, column: int):
     """(first row, row after the last, bytes, offsets) of slices of a batch.
     A text over twice the slice size comes in pieces."""
     data, offsets = flat_text(batch.column(column))
-    for a, b in text_slices(offsets, SLICE_BYTES):
+    for a, b in text_slices(offsets, min(BATCH_BYTES, SLICE_BYTES)):
         if offsets[b] - offsets[a] <= 2 * SLICE_BYTES:
             yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             continue

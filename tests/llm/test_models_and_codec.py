@@ -75,6 +75,43 @@ def test_documents_round_trip(spark):
     assert byte_bpe.round_trip(cases.empty(spark), PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_a_dropped_codec_goes_at_once():
+    """Without the collector of cycles, which a busy worker rarely runs."""
+    import gc
+    import weakref
+
+    gc.collect()
+    gc.disable()
+    try:
+        own = byte_bpe.codec(PATH, public_tokenizers.PATTERN)
+        text = " ".join(cases.words(4, 3000, 500)) + " it's, (one) 12:30"
+        assert own.encode(text).tolist() == LIBRARY.encode_ordinary(text)
+        left = [weakref.ref(x) for x in (own, own.vocabulary)]
+        del own
+        assert [x() for x in left] == [None, None]
+    finally:
+        gc.enable()
+
+
+def test_workers_keep_no_codec(spark):
+    import pyarrow as pa
+
+    assert byte_bpe.round_trip(cases.table(spark), PATH, public_tokenizers.PATTERN).count()
+
+    def kept(batches):
+        import gc
+        import sys
+
+        for _ in batches:
+            pass
+        module = sys.modules.get("homeward.llm.byte_bpe")
+        n = sum(type(x).__name__ == "Codec" and type(x).__module__ == module.__name__ for x in gc.get_objects()) if module else 0
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    rows = spark.range(0, 64, 1, 16).mapInArrow(kept, "n bigint").collect()
+    assert len(rows) == 16 and not any(r.n for r in rows)
+
+
 def test_language_of_held_out_texts(spark, sf_dir):
     rows = queries.op1_language_id(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     assert rows.count() == rows.select("doc_id").distinct().count() == 200
@@ -159,6 +196,20 @@ def test_ngrams_do_not_depend_on_the_texts_beside():
     assert [len(x) for x in together] == [18, 0, 21, 21, 0, 4, 0, 4]
 
 
+def test_slices_of_many_texts_are_small():
+    """A worker's memory follows the slice, of which a batch may have many."""
+    import pyarrow as pa
+
+    spec = language_id.NgramSpec()
+    texts = [" ".join(cases.words(i, 1500, 300)) for i in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    assert batch.nbytes > 3 * (1 << 18)
+    assert max(int(offsets[-1]) for _, _, _, offsets in language_id._pieces(batch, 0)) <= 1 << 18
+    got = sum(np.bincount(x[2], minlength=1 << spec.bits) for x in language_id._ngrams(batch, 0, spec))
+    want = sum(np.bincount(x[2], minlength=1 << spec.bits) for t in texts for x in language_id._ngrams(pa.RecordBatch.from_arrays([pa.array([t])], ["text"]), 0, spec))
+    assert (got == want).all()
+
+
 def test_ngrams_across_cuts(spark):
     # cuts inside words, in a run of spaces, and between letters of two bytes
     cut = language_id.SLICE_BYTES
