@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-KNOWN = 200_000  # entries in one generation of a task's memory
-KNOWN_PAIRS = 500_000
+KNOWN = 400_000  # entries in one generation of a task's memory
+KNOWN_PAIRS = 1_000_000
 BLANKS = re.compile(r"^ |\s ").search
 
 
