@@ -32,7 +32,7 @@ from .common import flat_text, map_arrow, stage_table, text_slices
 
 UNDETERMINED = "und"
 SLICE_BYTES = 1 << 20  # of a long text
-BATCH_BYTES = 1 << 18  # of several texts; their arrays take 120 times as much
+BATCH_BYTES = 1 << 18  # of several texts; their arrays take many times as much
 BLOCK_LANGUAGES = 64  # columns of a broadcast matrix (16 MB)
 
 
