@@ -59,5 +59,5 @@ def stream_return_trips(
     window = (F.col("back_pickup_ts") > F.col("to_dropoff_ts")) & (
         F.col("back_pickup_ts") < F.col("to_dropoff_ts") + F.make_interval(secs=F.lit(max_gap_s))
     )
-    joined = keyed_join(to, back, _fine_keys(spec), window & _residual(base, spec))
+    joined = keyed_join(to, back, _fine_keys(spec), window & _residual(spec, base))
     return joined.select(*PAIR_COLUMNS)
